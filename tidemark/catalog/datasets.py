@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
-from tidemark.functions.scalars import epoch_micros
+from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators.extract import json_pieces
 from tidemark.plans import datasets as ds
 from tidemark.plans import dictionaries as fixed
@@ -87,7 +87,7 @@ def family_rows(t, family: Family) -> DataFrame:
     table = t.customer if family.table == "customer" else t.orders if family.table == "ordered" else getattr(t, family.table)
     if family.table == "ordered":
         orders = t.orders
-        seconds = F.call_function("div", epoch_micros(orders, "o_orderdate"), F.lit(1_000_000))
+        seconds = epoch_seconds(orders, "o_orderdate")
         table = orders.withColumns({"cents": F.round(F.col("o_totalprice") * 100).cast("bigint"), "o_seconds": seconds})
         table = table.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     paths = sorted([*family.paths, *(["programId"] if family.program else [])])

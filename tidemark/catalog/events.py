@@ -9,7 +9,7 @@ from tidemark.catalog.registry import query
 from tidemark.catalog.rows import cents
 from tidemark.functions.binary import base58_text, hex_to_base58
 from tidemark.functions.json_text import json_field, json_fields
-from tidemark.functions.scalars import epoch_micros
+from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators import extract as ex
 from tidemark.plans import dictionaries as fixed
 
@@ -26,9 +26,6 @@ def account(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.hex(number), 62, "0"))
 
 
-SECONDS = 1_000_000
-
-
 def transactions(t) -> DataFrame:
     """One transaction per order: a name registration, a token account set-up and one balance entry pair.
 
@@ -60,7 +57,7 @@ def transactions(t) -> DataFrame:
     after = F.when(F.col("o_custkey") > F.col("o_orderkey"), F.lit("7")).otherwise(amount.cast("string"))
     shaped = orders.select(
         "*", register.alias("register"), F.concat(hex_to_base58(keys), programs).alias("keys"),
-        F.call_function("div", epoch_micros(orders, "o_orderdate"), F.lit(SECONDS)).alias("seconds"))
+        epoch_seconds(orders, "o_orderdate").alias("seconds"))
     return shaped.select(
         F.col("o_orderkey").alias("slot"), F.col("seconds").alias("blockTime"),
         F.struct(

@@ -17,7 +17,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)  # asked for again: same DataFrame, no second look at the footers
+        return table
 
     def stream(self, name: str) -> DataFrame:
         """The same table as a file stream."""

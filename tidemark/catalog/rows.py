@@ -75,8 +75,7 @@ def _(t):
     FROM orders""")
 def _(t):
     orders = t.orders
-    seconds = F.when(F.col("o_orderstatus") == "F", F.call_function(
-        "div", sc.epoch_micros(orders, "o_orderdate"), F.lit(1_000_000)))
+    seconds = F.when(F.col("o_orderstatus") == "F", sc.epoch_seconds(orders, "o_orderdate"))
     stamped = with_event_time(orders.withColumn("blockTime", seconds))
     return stamped.select("o_orderkey", F.unix_seconds("timestamp").alias("stamped"),
                           sc.seconds_to_millis("blockTime").alias("millis"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.joins import ZIPPED, yearly
 from tidemark.catalog.registry import query
 from tidemark.catalog.rows import cents
-from tidemark.functions.scalars import epoch_micros, shift_decimal
+from tidemark.functions.scalars import epoch_seconds, shift_decimal
 from tidemark.operators import aggregates as ag
 from tidemark.operators import ranking as rk
 from tidemark.operators.filters import like_any, of_type
@@ -56,10 +56,10 @@ def _(t):
 
 
 @query("ag_max", """
-    SELECT o_custkey, CAST(max(epoch_us(o_orderdate)) AS BIGINT) AS newest FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, CAST(max(epoch(o_orderdate)) AS BIGINT) AS newest FROM orders GROUP BY o_custkey""")
 def _(t):
     orders = t.orders
-    return ag.max_by_key(orders.select("o_custkey", epoch_micros(orders, "o_orderdate").alias("at")),
+    return ag.max_by_key(orders.select("o_custkey", epoch_seconds(orders, "o_orderdate").alias("at")),
                          ["o_custkey"], "at", "newest")
 
 

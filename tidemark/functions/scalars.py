@@ -81,19 +81,17 @@ def floor_div(value: Column, width: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width))
 
 
-def epoch_micros(df: DataFrame, name: str) -> Column:
-    """Microseconds since 1970 for a time column; integers are read as epoch seconds.
+def epoch_seconds(df: DataFrame, name: str) -> Column:
+    """Whole seconds since 1970 for a time column; integers are read as epoch seconds already.
 
     Zone-less timestamps are taken apart by calendar field, so the session time zone plays no part.
     """
     column, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, T.IntegralType):
-        return column.cast("bigint") * 1_000_000
+        return column.cast("bigint")
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
+        return F.unix_seconds(column)
     if isinstance(kind, T.TimestampNTZType):
-        clock = F.hour(column) * 3600 + F.minute(column) * 60
-        micros = (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
         days = F.unix_date(F.to_date(column)).cast("bigint")
-        return (days * 86_400 + clock) * 1_000_000 + micros
+        return days * 86_400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
     raise TypeError(f"{name} is {kind.simpleString()}, not a time")

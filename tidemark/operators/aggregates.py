@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import floor_div
-from tidemark.operators.running import HOT_ROWS, Running, running
+from tidemark.operators.running import HOT_ROWS, Running, present, running
 
 
 def _order(order: str | Sequence[str]) -> Column:
@@ -20,11 +20,11 @@ def _order(order: str | Sequence[str]) -> Column:
 
 def count_by(df: DataFrame, keys: Sequence[str], column: str, out: str = "count") -> DataFrame:
     """Non-NULL values per key; NULL keys form no group."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(column).alias(out))
+    return df.where(present(keys)).groupBy(*keys).agg(F.count(column).alias(out))
 
 
 def max_by_key(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(column).alias(out))
+    return df.where(present(keys)).groupBy(*keys).agg(F.max(column).alias(out))
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str | Sequence[str]) -> DataFrame:
@@ -33,7 +33,7 @@ def latest_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order:
     latest = [
         F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns
     ]
-    grouped = df.dropna(subset=list(keys)) if keys else df
+    grouped = df.where(present(keys)) if keys else df
     return grouped.groupBy(*keys).agg(*latest)
 
 
@@ -77,7 +77,7 @@ def changelog(
     ``values`` maps an output name to (``count``, ``max``, ``sum`` or ``last``, column).
     """
     folds = [Running(out, kind, F.col(column)) for out, (kind, column) in values.items()]
-    return running(df.dropna(subset=list(keys)), keys, [order], folds, threshold=threshold, width=width)
+    return running(df.where(present(keys)), keys, [order], folds, threshold=threshold, width=width)
 
 
 def monotone(
@@ -102,7 +102,7 @@ def collect_pages(
 
     Paging bounds every list; a group of any size becomes more pages, not a longer list.
     """
-    numbered = running(df.dropna(subset=[group]), [group], [order], [Running("__n", "count", F.lit(1))],
+    numbered = running(df.where(F.col(group).isNotNull()), [group], [order], [Running("__n", "count", F.lit(1))],
                        threshold=threshold, width=width)
     paged = numbered.withColumn("page", floor_div(F.col("__n") - 1, page_size))
     items = F.sort_array(F.collect_list(F.struct(order, *[c for c in columns if c != order])))

@@ -84,7 +84,7 @@ def relevant(df: DataFrame, keys: str, wanted: Iterable) -> DataFrame:
 def relevant_ids(pairs: DataFrame, id_column: str, key: str, wanted: Iterable | DataFrame) -> DataFrame:
     """Distinct ids of an exploded (id, key) table that have at least one wanted key."""
     if isinstance(wanted, DataFrame):
-        listed = wanted.select(F.col(wanted.columns[0]).alias("__wanted")).distinct()
+        listed = wanted.select(F.col(wanted.columns[0]).alias("__wanted"))
         hits = pairs.join(listed, F.col(key) == F.col("__wanted"), "left_semi")
     else:
         hits = pairs.where(F.col(key).isin(list(wanted)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import epoch_micros, floor_div
+from tidemark.functions.scalars import epoch_seconds, floor_div
 from tidemark.operators.aggregates import latest_by, latest_rows
 from tidemark.operators.filters import MAX_RECORD_BYTES, max_bytes
 from tidemark.operators.running import HOT_ROWS, Running, running
@@ -23,15 +23,15 @@ def interval_join(
     Both sides are also matched on a time bucket of twice the interval (a right row falls into two at most),
     so a hot key is spread over its buckets and only near rows are compared.  Works on streams too: there
     each side needs a TIMESTAMP column and gets a watermark of ``delay``.  Column names must not overlap.
+    (Whole seconds are enough for the buckets: times at most ``within`` apart are so after rounding down too.)
     """
     (left_key, right_key), (left_time, right_time) = on, times
     if left.isStreaming or right.isStreaming:
         left, right = left.withWatermark(left_time, delay), right.withWatermark(right_time, delay)
-    reach = within * 1_000_000
-    width = max(2 * reach, 1)
-    near = left.withColumn("__bucket", floor_div(epoch_micros(left, left_time), width))
-    moment = epoch_micros(right, right_time)
-    spread = F.array_distinct(F.array(floor_div(moment - reach, width), floor_div(moment + reach, width)))
+    width = max(2 * within, 1)
+    near = left.withColumn("__bucket", floor_div(epoch_seconds(left, left_time), width))
+    moment = epoch_seconds(right, right_time)
+    spread = F.array_distinct(F.array(floor_div(moment - within, width), floor_div(moment + within, width)))
     far = right.withColumn("__spread", F.explode(spread))
     gap = _span(left, left_time, within)
     close = (F.col(right_time) >= F.col(left_time) - gap) & (F.col(right_time) <= F.col(left_time) + gap)

@@ -17,15 +17,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from tidemark.functions.scalars import epoch_micros, floor_div
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import epoch_seconds, floor_div
+
 HOT_ROWS = 1_000_000
 HOT_LIMIT = 65_536
-# Width of a chunk in order units: offsets for integer orders, microseconds for times.
+# Width of a chunk in order units: offsets for integer orders, seconds for times.
 OFFSETS_PER_CHUNK = 1_000_000
-MICROS_PER_CHUNK = 3_600_000_000
+SECONDS_PER_CHUNK = 3_600
 
 _CHUNK = "__chunk"
 
@@ -65,8 +65,7 @@ class Running:
 
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS, limit: int = HOT_LIMIT) -> DataFrame:
     """The heaviest keys with more than ``threshold`` rows, at most ``limit`` of them, without NULL keys."""
-    present = df.dropna(subset=list(keys))
-    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > threshold)
+    counts = df.where(present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > threshold)
     heaviest = counts.orderBy(F.col("__rows").desc(), *keys).limit(limit)
     return heaviest.select(*keys, F.lit(True).alias("__hot"))
 
@@ -75,7 +74,7 @@ def order_chunk(df: DataFrame, order: str, width: int | None = None) -> Column:
     """A coarse, order-preserving bucket of the order column."""
     if isinstance(df.schema[order].dataType, T.IntegralType):
         return floor_div(F.col(order).cast("bigint"), width or OFFSETS_PER_CHUNK)
-    return floor_div(epoch_micros(df, order), width or MICROS_PER_CHUNK)
+    return floor_div(epoch_seconds(df, order), width or SECONDS_PER_CHUNK)
 
 
 def running(
@@ -94,25 +93,29 @@ def running(
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(df, keys, threshold))
-    some_null = F.lit(False)
+    place = order_chunk(df, order[0], width)
+    split = F.col("__hot").isNotNull() | ~present(keys)
+    chunked = df.join(hot, keys, "left").select(*df.columns, F.when(split, place).alias(_CHUNK))
+    cut = df.join(hot, keys, "inner").select(*df.columns, place.alias(_CHUNK))
+    return running_by_chunk(chunked, keys, _CHUNK, order, folds, inclusive, cut).drop(_CHUNK)
+
+
+def present(keys: Sequence[str]) -> Column:
+    """All key columns are there (a pushable predicate)."""
+    condition = F.lit(True)
     for key in keys:
-        some_null = some_null | F.col(key).isNull()
-    split = F.coalesce(F.col("__hot"), F.lit(False)) | some_null
-    chunked = df.join(hot, keys, "left").select(
-        *df.columns, F.when(split, order_chunk(df, order[0], width)).alias(_CHUNK)
-    )
-    return running_by_chunk(chunked, keys, _CHUNK, order, folds, inclusive).select(
-        *df.columns, *[fold.out for fold in folds]
-    )
+        condition = condition & F.col(key).isNotNull()
+    return condition
 
 
 def running_by_chunk(
     df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[Column | str], folds: Sequence[Running],
-    inclusive: bool = True,
+    inclusive: bool = True, cut: DataFrame | None = None,
 ) -> DataFrame:
     """The two-level fold itself, for rows that already carry a chunk in key order (NULL = key not cut).
 
-    The rows are shuffled once, by key and chunk; the join with the carried values reuses that partitioning.
+    ``cut`` holds the rows of the keys that are cut, if not all of them.  The rows are shuffled once, by key and
+    chunk; the join with the carried values reuses that partitioning.
     """
     rank = order[0] if len(order) == 1 else F.struct(*order)
     rank = F.col(rank) if isinstance(rank, str) else rank
@@ -121,7 +124,7 @@ def running_by_chunk(
     inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
     here = df.select("*", *[FOLDS[f.kind].inside(f.value).over(inside).alias(f"__here_{f.out}") for f in folds])
 
-    totals = df.where(F.col(chunk).isNotNull()).dropna(subset=list(keys)).groupBy(*cell).agg(
+    totals = (df.where(present(keys)) if cut is None else cut).groupBy(*cell).agg(
         *[FOLDS[f.kind].total(f.value, rank).alias(f"__all_{f.out}") for f in folds]
     )
     earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)

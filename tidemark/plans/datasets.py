@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.json_text import json_field
+from tidemark.functions.json_text import json_field, json_fields
 from tidemark.functions.scalars import shift_decimal, tolerant
 from tidemark.operators.aggregates import changelog, count_by, latest_by, max_by_key, monotone
 from tidemark.operators.filters import like_any, of_type
@@ -103,9 +103,13 @@ def typed(events: DataFrame, name: str, order: str = "offset") -> DataFrame:
     """
     stream, kind, paths = TYPED[name]
     rows = events if kind is None else of_type(events, kind)
-    fields = [json_field("payload", p).alias(_leaf(p)) for p in paths]
     head = [*EVENT, "type"] if stream == "solana_events" and name != "accounts" else EVENT
-    return routed(rows, stream).select(F.col(order).alias("seq"), *head, *fields)
+    return _flatten(routed(rows, stream).select(F.col(order).alias("seq"), *head, "payload"), paths)
+
+
+def _flatten(rows: DataFrame, paths: list[str]) -> DataFrame:
+    """Replace the payload by its fields."""
+    return json_fields(rows, "payload", {_leaf(p): p for p in paths}).drop("payload")
 
 
 def collective_create_unclaimed_tokens(events: DataFrame, within: int = JOIN_WITHIN_SECONDS) -> DataFrame:
@@ -118,10 +122,8 @@ def collective_create_unclaimed_tokens(events: DataFrame, within: int = JOIN_WIT
         F.col("uri").alias("tokenMetadataUri"), "tokenMetadata", _rowtime("__made"),
     )
     pairs = interval_join(left, right, ("__wanted", "tokenMetadata"), ("__at", "__made"), within)
-    return pairs.select(
-        "seq", *EVENT, "tokenMetadataName", "tokenMetadataSymbol", "tokenMetadataUri", "tokenMetadata",
-        *[json_field("payload", p).alias(_leaf(p)) for p in UNCLAIMED],
-    )
+    found = ["tokenMetadataName", "tokenMetadataSymbol", "tokenMetadataUri", "tokenMetadata"]
+    return _flatten(pairs.select("seq", *EVENT, *found, "payload"), UNCLAIMED)
 
 
 def _rowtime(out: str):

@@ -7,9 +7,9 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.functions.scalars import epoch_micros
 from tidemark.operators.aggregates import latest_by
 
 
@@ -31,6 +31,8 @@ def dedup_within(df: DataFrame, keys: Sequence[str], time: str, horizon: str) ->
 def monotone_stream(df: DataFrame, key: str, time: str, order: str, ttl: str | None = None) -> DataFrame:
     """Streaming form of ``monotone``: state per key is one number, the newest accepted time.
 
+    ``time`` is an integer or TIMESTAMP column.
+
     A key's rows of a micro-batch are sorted by ``order`` first.  ``ttl`` (milliseconds as text) forgets idle keys.
     """
     def keep(rows: pd.DataFrame, newest: int | None):
@@ -43,7 +45,8 @@ def monotone_stream(df: DataFrame, key: str, time: str, order: str, ttl: str | N
                 newest = now
         return rows[passed], newest
 
-    return _fold_rows(df.withColumn("__time", epoch_micros(df, time)), key, order, keep, ttl).drop("__time")
+    whole = F.unix_micros(time) if isinstance(df.schema[time].dataType, T.TimestampType) else F.col(time)
+    return _fold_rows(df.withColumn("__time", whole.cast("bigint")), key, order, keep, ttl).drop("__time")
 
 
 def count_stream(df: DataFrame, key: str, order: str, out: str = "count", ttl: str | None = None) -> DataFrame:
