@@ -253,19 +253,19 @@ def _(t):
     return ds.high_watermark(ds.latest_reserve_token_account_balances(ledger_events(t)))
 
 
-def _board(source: str, group: str, member: str) -> str:
+def _board(source: str, prefix: str, group: str, member: str) -> str:
     return f"""WITH latest AS (SELECT "{group}", "{member}", arg_max("tokenAmount", seq) AS "tokenAmount"
         FROM ({_balances(source)}) GROUP BY "{group}", "{member}")
-        SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY "{group}" ORDER BY "tokenAmount" DESC, "{member}"
+        SELECT *, '{prefix}' || "{group}" AS board FROM (SELECT *, CAST(row_number() OVER (PARTITION BY "{group}" ORDER BY "tokenAmount" DESC, "{member}"
         DESC) AS INTEGER) AS "rank" FROM latest WHERE "tokenAmount" <> 0) WHERE "rank" <= 10"""
 
 
-@query("ds_top_holders", _board(BONDED, "tokenBonding", "pubkey"))
+@query("ds_top_holders", _board(BONDED, "accounts-by-balance-", "tokenBonding", "pubkey"))
 def _(t):
     return ds.top_holders(ledger_events(t), 10)
 
 
-@query("ds_top_tokens", _board(RESERVED, "mint", "tokenBonding"))
+@query("ds_top_tokens", _board(RESERVED, "bonding-by-tvl-", "mint", "tokenBonding"))
 def _(t):
     return ds.top_tokens(ledger_events(t), 10)
 

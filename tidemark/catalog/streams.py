@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalog.joins import INTERVAL_SQL
+from tidemark.catalog.joins import INTERVAL_SQL, as_of_sql
 from tidemark.catalog.registry import query
+from tidemark.catalog.rows import cents
 from tidemark.catalog.tables import CHANGELOG_SQL, MONOTONE_SQL
 from tidemark.operators.filters import of_type
 from tidemark.operators.joins import interval_join
@@ -54,6 +55,30 @@ def _(t):
     return drained(t, stateful.count_stream(rows, "o_custkey", "o_orderkey", "n"))
 
 
+@query("st_lookup", as_of_sql("view", "signup", "ASOF JOIN"))
+def _(t):
+    views = of_type(t.stream("events"), "view", "event_type").select("event_id", "user_id")
+    signups = of_type(t.stream("events"), "signup", "event_type").select(
+        F.col("user_id").alias("owner"), F.col("event_id").alias("at"), F.col("props").alias("seen_props"),
+        F.col("event_id").alias("seen_id"))
+    return drained(t, stateful.lookup_stream(views, signups, ("user_id", "owner"), ("event_id", "at"),
+                                             ["seen_props", "seen_id"]))
+
+
+@query("st_scores", """
+    SELECT o_orderpriority AS board, o_custkey AS member, arg_max(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE
+           CAST(round(o_totalprice * 100) AS BIGINT) END, o_orderkey) AS score FROM orders
+    GROUP BY ALL HAVING arg_max(o_orderstatus, o_orderkey) <> 'F'""")
+def _(t):
+    score = F.when(F.col("o_orderstatus") == "F", F.lit(0).cast("bigint")).otherwise(cents("o_totalprice"))
+    changes = t.stream("orders").select(F.col("o_orderpriority").alias("board"), F.col("o_custkey").alias("member"),
+                                        score.alias("score"), "o_orderkey")
+    folder = f"{shared_folder(t.spark)}/scores-{uuid.uuid4().hex}"
+    sinks.drain(sinks.upsert(changes, f"{folder}/rows", ["board", "member"], f"{folder}/progress", order="o_orderkey",
+                             mode="append"))
+    return sinks.scores_now(t.spark, f"{folder}/rows", "board", "member", "score")
+
+
 @query("st_first_seen", "SELECT DISTINCT user_id FROM events WHERE event_type = 'error'")
 def _(t):
     errors = of_type(t.stream("events"), "error", "event_type").select("user_id")

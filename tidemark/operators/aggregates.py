@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import floor_div
@@ -117,3 +117,9 @@ def upsert_stats(before: DataFrame, after: DataFrame, keys: Sequence[str], value
     return old.join(new, list(keys), "full_outer").agg(
         F.count(F.lit(1)).alias("members"), F.count_if(~same).alias("changed")
     )
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The same rows with a row counter on the side; read it as ``observation.get["rows"]`` after an action."""
+    observation = Observation(name)
+    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation

@@ -102,7 +102,7 @@ def instruction_events(txns: DataFrame, commands: list[dict]) -> DataFrame:
     """Typed events of all known commands: accounts named by position, arguments decoded.
 
     A command whose named accounts point outside the key list yields no event when it is ``strict``; otherwise
-    those accounts are null.
+    those accounts are null, as are named accounts the instruction does not list.
     """
     wanted = relevant(txns, KEYS, sorted({c["programId"] for c in commands}))
     kept = ["slot", "blockTime", F.col("transaction.message.recentBlockhash").alias("recentBlockhash")]

@@ -22,7 +22,8 @@ def interval_join(
 
     Both sides are also matched on a time bucket of twice the interval (a right row falls into two at most),
     so a hot key is spread over its buckets and only near rows are compared.  Works on streams too: there
-    each side needs a TIMESTAMP column and gets a watermark of ``delay``.  Column names must not overlap.
+    each side needs a TIMESTAMP column and gets a watermark of ``delay`` (a stream starts with a watermark of 1970,
+    so rows stamped with the epoch itself count as late there).  Column names must not overlap.
     (Whole seconds are enough for the buckets: times at most ``within`` apart are so after rounding down too.)
     """
     (left_key, right_key), (left_time, right_time) = on, times

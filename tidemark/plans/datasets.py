@@ -207,18 +207,26 @@ def high_watermark(balances: DataFrame) -> DataFrame:
     return max_by_key(balances, ["pubkey"], "blockTime", "maxBlockTime")
 
 
-def top_holders(events: DataFrame, k: int | None = None, mode: str = "as_of") -> DataFrame:
-    """Holders per token by balance."""
-    scores = apply_scores(None, latest_bonding_token_account_balances(events, mode), "tokenBonding", "pubkey",
-                          "tokenAmount", "seq")
-    return leaderboard(scores, "tokenBonding", "pubkey", "tokenAmount", k)
-
-
-def top_tokens(events: DataFrame, k: int | None = None, mode: str = "as_of") -> DataFrame:
-    """Tokens per reserve mint by value locked."""
-    scores = apply_scores(None, latest_reserve_token_account_balances(events, mode), "mint", "tokenBonding",
-                          "tokenAmount", "seq")
-    return leaderboard(scores, "mint", "tokenBonding", "tokenAmount", k)
+def top_holders(events: DataFrame, k: int | None = None, mode: str = "as_of", save: Save = save_table) -> DataFrame:
+    """Holders per token by balance, on one board per token."""
+    balances = latest_bonding_token_account_balances(events, mode, save)
+    return _board(balances, "accounts-by-balance-", "tokenBonding", "pubkey", k)
+
+
+def top_tokens(events: DataFrame, k: int | None = None, mode: str = "as_of", save: Save = save_table) -> DataFrame:
+    """Tokens by value locked, on one board per reserve mint."""
+    balances = latest_reserve_token_account_balances(events, mode, save)
+    return _board(balances, "bonding-by-tvl-", "mint", "tokenBonding", k)
+
+
+# Leaderboards by the name they are configured with; the first is the default.
+BOARDS = {"ACCOUNT": top_holders, "TOP_TOKENS": top_tokens}
+
+
+def _board(balances: DataFrame, prefix: str, group: str, member: str, k: int | None) -> DataFrame:
+    scores = apply_scores(None, balances, group, member, "tokenAmount", "seq")
+    ranked = leaderboard(scores, group, member, "tokenAmount", k)
+    return ranked.withColumn("board", F.concat(F.lit(prefix), group))
 
 
 def _skipped(blocks: DataFrame) -> DataFrame:

@@ -78,6 +78,17 @@ def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return latest_rows(spark.read.parquet(path), keys, "batch").drop("batch")
 
 
+def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
+    """Write the keyed table without superseded rows to ``target``, where a restarted stream can go on."""
+    last = spark.read.parquet(path).agg(F.max("batch")).first()[0]
+    current(spark, path, keys).write.mode("overwrite").parquet(f"{target}/batch={last}")
+
+
+def scores_now(spark: SparkSession, path: str, group: str, member: str, score: str) -> DataFrame:
+    """The sorted sets kept by ``upsert`` of score changes: members whose latest score is not zero or NULL."""
+    return current(spark, path, [group, member]).where(F.col(score) != 0).select(group, member, score)
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait until a query started with ``once`` has processed all input."""
     query.awaitTermination()

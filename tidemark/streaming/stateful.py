@@ -1,7 +1,8 @@
-"""Keyed state over streams: latest values, first occurrence, dedup, stale-row removal, row-exact changelog."""
+"""Keyed state over streams: latest values, first occurrence, dedup, stale-row removal, changelog, table lookup."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -28,38 +29,67 @@ def dedup_within(df: DataFrame, keys: Sequence[str], time: str, horizon: str) ->
     return df.withWatermark(time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
-def monotone_stream(df: DataFrame, key: str, time: str, order: str, ttl: str | None = None) -> DataFrame:
+def monotone_stream(df: DataFrame, key: str, time: str, order: str, ttl: int | None = None) -> DataFrame:
     """Streaming form of ``monotone``: state per key is one number, the newest accepted time.
 
-    ``time`` is an integer or TIMESTAMP column.
-
-    A key's rows of a micro-batch are sorted by ``order`` first.  ``ttl`` (milliseconds as text) forgets idle keys.
+    ``time`` is an integer or TIMESTAMP column.  A key's rows of a micro-batch are taken in ``order``, so bound
+    the batch at the source.  ``ttl`` (milliseconds) forgets idle keys.
     """
-    def keep(rows: pd.DataFrame, newest: int | None):
-        passed = []
+    def keep(rows: pd.DataFrame, state: str | None):
+        newest, passed = None if state is None else int(state), []
         for value in rows["__time"]:
             now = None if value is None else int(value)
             fine = newest is None or (now is not None and now >= newest)
             passed.append(fine)
             if fine and now is not None:
                 newest = now
-        return rows[passed], newest
+        return rows[passed], None if newest is None else str(newest)
 
     whole = F.unix_micros(time) if isinstance(df.schema[time].dataType, T.TimestampType) else F.col(time)
-    return _fold_rows(df.withColumn("__time", whole.cast("bigint")), key, order, keep, ttl).drop("__time")
+    return _fold_rows(df.withColumn("__time", whole.cast("bigint")), key, [order], keep, ttl).drop("__time")
 
 
-def count_stream(df: DataFrame, key: str, order: str, out: str = "count", ttl: str | None = None) -> DataFrame:
+def count_stream(df: DataFrame, key: str, order: str, out: str = "count", ttl: int | None = None) -> DataFrame:
     """Row-exact changelog of a count: every input row with the number of rows of its key so far."""
-    def number(rows: pd.DataFrame, total: int | None):
-        seen = total or 0
-        return rows.assign(**{out: [str(seen + i + 1) for i in range(len(rows))]}), seen + len(rows)
+    def number(rows: pd.DataFrame, state: str | None):
+        seen = int(state or 0)
+        return rows.assign(**{out: [str(seen + i + 1) for i in range(len(rows))]}), str(seen + len(rows))
+
+    return _fold_rows(df.withColumn(out, F.lit(0).cast("bigint")), key, [order], number, ttl)
+
+
+def lookup_stream(
+    events: DataFrame, updates: DataFrame, on: tuple[str, str], order: tuple[str, str], values: Sequence[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Streaming form of ``lookup_join``: both sides are streams, only events give rows.
+
+    State per key is the table row: the latest non-NULL value of each column.  Inside a micro-batch updates and
+    events are taken in their common order; an update that arrives in a later batch does not change earlier rows.
+    """
+    held = [f"__held_{v}" for v in values]
+    asking = events.select("*", F.col(order[0]).alias("__order"), F.lit(1).alias("__side"))
+    telling = updates.select(
+        F.col(on[1]).alias(on[0]), F.col(order[1]).alias("__order"), F.lit(0).alias("__side"),
+        *[F.col(v).alias(h) for v, h in zip(values, held)],
+    )
+    both = asking.unionByName(telling, allowMissingColumns=True).where(F.col(on[0]).isNotNull())
+
+    def answer(rows: pd.DataFrame, state: str | None):
+        table, out = None if state is None else json.loads(state), []
+        for row in rows.to_dict("records"):
+            if row["__side"] == "0":
+                table = {h: (table or {}).get(h) if row[h] is None else row[h] for h in held}
+            elif table is not None or how == "left":
+                out.append({**row, **(table or {})})
+        return pd.DataFrame(out, columns=rows.columns, dtype=object), None if table is None else json.dumps(table)
 
-    return _fold_rows(df.withColumn(out, F.lit(0).cast("bigint")), key, order, number, ttl)
+    found = _fold_rows(both, on[0], ["__order", "__side"], answer, None)
+    return found.select(*events.columns, *[F.col(h).alias(v) for v, h in zip(values, held)])
 
 
-def _fold_rows(df: DataFrame, key: str, order: str, step, ttl: str | None) -> DataFrame:
-    """Run ``step(sorted rows, state) -> (rows, state)`` per key and micro-batch; state is one integer.
+def _fold_rows(df: DataFrame, key: str, order: Sequence[str], step, ttl: int | None) -> DataFrame:
+    """Run ``step(ordered rows, state text) -> (rows, state text)`` per key and micro-batch.
 
     All columns travel as text and are cast back, so nullable integers and decimals stay exact.
     """
@@ -71,17 +101,17 @@ def _fold_rows(df: DataFrame, key: str, order: str, step, ttl: str | None) -> Da
             return
         rows = pd.concat(list(batches), ignore_index=True).astype(object)
         rows = rows.where(rows.notna(), None)
-        rows = rows.iloc[rows[order].map(int).argsort(kind="stable")]
-        kept, value = step(rows, state.get[0] if state.exists else None)
+        places = pd.DataFrame({o: rows[o].map(int) for o in order}).sort_values(list(order)).index
+        kept, value = step(rows.loc[places], state.get[0] if state.exists else None)
         if value is not None:
             state.update((value,))
             if ttl:
-                state.setTimeoutDuration(int(ttl))
+                state.setTimeoutDuration(ttl)
         yield kept[names]
 
     text = df.where(F.col(key).isNotNull()).select(*[F.col(c).cast("string") for c in names])
     kept = text.groupBy(key).applyInPandasWithState(
-        fold, ", ".join(f"`{c}` STRING" for c in names), "value BIGINT", "append",
+        fold, ", ".join(f"`{c}` STRING" for c in names), "value STRING", "append",
         GroupStateTimeout.ProcessingTimeTimeout if ttl else GroupStateTimeout.NoTimeout,
     )
     return kept.select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields])
