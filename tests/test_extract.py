@@ -1,11 +1,12 @@
 """Transactions to events, on a small hand-made transaction and golden values."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.binary import from_base58, hex_to_base58, read_value, to_base58
+from tidemark.functions.binary import decode_all, encode_all, from_base58, hex_to_base58, read_value, to_base58
 from tidemark.operators import extract as ex
 from tidemark.plans import dictionaries as fixed
 
@@ -59,6 +60,16 @@ def test_base58(spark):
     assert [r[0] for r in df.select(hex_to_base58(F.col("k"))).collect()] == [list(KEYS.values()), None]
 
 
+def test_base58_in_bulk_equals_one_by_one():
+    rng = random.Random(1)
+    raws = [rng.randbytes(n) for n in [0, 1, 2, 4, 5, 31, 32, 33, 64, 255, 256, 257, 400] * 5]
+    raws += [b"\0" * 32, b"\0\0" + rng.randbytes(30), b"\xff" * 32, None]
+    texts = encode_all(raws)
+    assert texts == [None if r is None else to_base58(r) for r in raws]
+    assert decode_all(texts) == raws
+    assert decode_all(["0", "\u00e9", "1l", "z" * 300 + "0", "z", None]) == [None, None, None, None, b"9", None]
+
+
 def test_discriminators():
     assert fixed.discriminator("createCurveV0") == "cdcbfac99c8772dd"
     assert fixed.discriminator("initializeUnclaimedSocialTokenV0") == "f792a255afdd48b3"
@@ -68,11 +79,11 @@ def test_read_value_types():
     layout = {"struct": [["n", "i8"], ["big", "u64"], ["o", {"option": "u8"}], ["v", {"vec": "u16"}],
                          ["a", {"array": ["bool", 2]}], ["s", "string"], ["b", "bytes"]]}
     raw = bytes([255]) + (2**63).to_bytes(8, "little") + b"\0" + b"\1\0\0\0\5\0" + b"\1\0" + b"\2\0\0\0hi" + b"\1\0\0\0\7"
-    value, at = read_value(layout, raw, 0)
+    value, at = read_value(layout, raw, 0, [])
     assert value == {"n": -1, "big": str(2**63), "o": None, "v": [5], "a": [True, False], "s": "hi", "b": [7]}
     assert at == len(raw)
     with pytest.raises(ValueError):
-        read_value("u32", b"\1", 0)
+        read_value("u32", b"\1", 0, [])
 
 
 def test_instructions_inner_first_with_swapped_index_names(spark):

@@ -1 +1,8 @@
 """Ledger-event analytics written as plain PySpark DataFrame functions."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

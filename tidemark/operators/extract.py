@@ -46,7 +46,11 @@ def explode_two_levels(df: DataFrame, outer: Column, groups: Column, keep: Itera
     ))
     outside = F.transform(outer, lambda item, i: place(i, nothing, item))
     rows = F.when(inside.isNull(), outside).otherwise(F.concat(inside, outside))
-    return df.select(*keep, F.inline(rows))
+    # Shaped before the explode, so each exploded row carries the kept columns and not the whole record.  The outer
+    # form keeps the optimizer from testing the array's size in a filter, which would build the array twice.
+    shaped = df.select(*keep, rows.alias("__rows"))
+    exploded = shaped.select(*shaped.columns[:-1], F.inline_outer("__rows"))
+    return exploded.where(F.col("instructionIndex").isNotNull())
 
 
 def explode_instructions(txns: DataFrame, keep: Iterable[str | Column] = ()) -> DataFrame:
@@ -152,8 +156,9 @@ def balance_changes(txns: DataFrame) -> DataFrame:
         relevant(txns, KEYS, [TOKEN_PROGRAM])
         .withColumns({"__pre": listed("preTokenBalances"), "__post": listed("postTokenBalances")})
         .select("slot", "blockTime", F.col("transaction.message.recentBlockhash").alias("recentBlockhash"),
-                F.inline(pairs))
-        .where(~F.col("pre.amount").eqNullSafe(F.col("post.amount")))
+                pairs.alias("__pairs"))
+        .select("slot", "blockTime", "recentBlockhash", F.inline_outer("__pairs"))
+        .where(F.col("pubkey").isNotNull() & ~F.col("pre.amount").eqNullSafe(F.col("post.amount")))
     )
     payload = F.to_json(F.struct(
         "pubkey", F.coalesce("pre.amount", F.lit("0")).alias("preAmount"),
