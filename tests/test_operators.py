@@ -120,9 +120,9 @@ def test_interval_join_bounds(spark, rows, kind):
     times = [0, 1, 99, 100, 101, 199, 200, 201, 350, -100, -101]
     left = side([("k", t, i) for i, t in enumerate(times)] + [(None, 0, 90), ("k", None, 91)], "a", "at", "i")
     right = side([("k", t, i) for i, t in enumerate(times)] + [("other", 0, 92), (None, 0, 93)], "b", "bt", "j")
-    got = jn.interval_join(left, right, ("a", "b"), ("at", "bt"), 100).select("i", "j")
     want = sorted((i, j) for i, x in enumerate(times) for j, y in enumerate(times) if abs(x - y) <= 100)
-    assert rows(got) == want
+    for width in (None, 7, 1000):
+        assert rows(jn.interval_join(left, right, ("a", "b"), ("at", "bt"), 100, width=width).select("i", "j")) == want
 
 
 def test_zip_changes_and_upsert_stats(spark, rows):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import changelog, collect_pages, dedup, first_per_key, latest_by, latest_rows, monotone
 from tidemark.operators.joins import lookup_join
-from tidemark.operators.ranking import leaderboard, next_number
+from tidemark.operators.ranking import leaderboard, next_number, rank_all
 from tidemark.operators.running import Running, hot_keys, running
 
 # (threshold, width): plain window; every key cut into tiny pieces; hot keys cut only.
@@ -163,6 +163,7 @@ def test_full_ranking_equals_top_k(spark, rows):
     data = [("big" if i % 3 else "small", f"m{i:03d}", rng.randrange(12)) for i in range(200)]
     df = spark.createDataFrame(data, "g STRING, m STRING, s INT").repartition(5)
     everyone = leaderboard(df, "g", "m", "s")
+    assert rows(everyone) == rows(rank_all(df, "g", "m", "s", partitions=9))
     assert rows(everyone) == rows(leaderboard(df, "g", "m", "s", 200).withColumn("rank", F.col("rank").cast("bigint")))
     for name in ("big", "small"):
         want = sorted(((s, m) for g, m, s in data if g == name), reverse=True)

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.catalog.registry import query
 from tidemark.catalog.rows import cents
 from tidemark.functions.binary import base58_text, hex_to_base58
-from tidemark.functions.json_text import json_field, json_fields
+from tidemark.functions.json_text import json_fields
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators import extract as ex
 from tidemark.plans import dictionaries as fixed
+from tidemark.plans import ledger
 
 
 def little_endian(value: Column, size: int) -> Column:
@@ -167,6 +168,23 @@ def _(t):
         UNION ALL SELECT 'TokenAccountBalanceChange' FROM ({BALANCES})
         WHERE pre IS DISTINCT FROM post AND o_orderstatus <> 'P') GROUP BY type""")
 def _(t):
-    events = ex.build_events(transactions(t), [
-        ex.balance_changes, lambda txns: ex.instruction_events(txns, fixed.opcode_commands())])
-    return events.groupBy("type").agg(F.count(json_field("payload", "decimals").isNotNull()).alias("n"))
+    events = ledger.event_stream(transactions(t))
+    return events.groupBy("type").agg(F.count("payload").alias("n"))
+
+
+@query("ex_fetched_events", f"""
+    SELECT type, count(*) AS n FROM (
+        SELECT unnest(['CreateNameServiceName', 'InitializeTokenAccount']) AS type, o_orderkey FROM orders
+        WHERE o_orderstatus <> 'P'
+        UNION ALL SELECT 'TokenAccountBalanceChange', o_orderkey FROM ({BALANCES})
+        WHERE pre IS DISTINCT FROM post AND o_orderstatus <> 'P')
+    WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag IN ('A', 'R')) GROUP BY type""")
+def _(t):
+    ids = t.lineitem.select(
+        F.concat(F.lit("ids."), F.lower("l_returnflag")).alias("topic"), F.col("l_orderkey").alias("id"),
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("offset"))
+    stored = transactions(t)
+    store = stored.select(F.col("slot").alias("id"), F.to_json(F.struct(*stored.columns)).alias("value"))
+    unique = ledger.unique_ids(ids, r"ids\.[ar]", "id")
+    events = ledger.event_stream(ledger.fetch_transactions(unique, store, "id"))
+    return events.groupBy("type").agg(F.count("payload").alias("n"))

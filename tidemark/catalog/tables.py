@@ -117,9 +117,11 @@ def top_customers(t) -> DataFrame:
     amount = shift_decimal(cents("o_totalprice").cast("string"), F.lit(2))
     changes = t.orders.select("o_custkey", "o_orderdate", "o_orderkey", amount.alias("amount"))
     fresh = ag.monotone(changes, "o_custkey", "o_orderdate", "o_orderkey")
-    scored = rk.apply_scores(None, enrich(fresh, t.customer.select("c_custkey", "c_nationkey"), ("o_custkey", "c_custkey")),
-                             "c_nationkey", "o_custkey", "amount", "o_orderkey")
-    return rk.leaderboard(scored, "c_nationkey", "o_custkey", "amount", 10)
+    # A customer has one nation, so the rows are reduced to one per customer before the join.
+    latest = rk.apply_scores(None, fresh.withColumn("board", F.lit("amount")), "board", "o_custkey", "amount", "o_orderkey")
+    scored = enrich(latest, t.customer.select("c_custkey", "c_nationkey"), ("o_custkey", "c_custkey"))
+    best = rk.leaderboard(scored, "c_nationkey", "o_custkey", "amount", 10)
+    return best.select("c_nationkey", "o_custkey", "amount", "rank")
 
 
 @query("wn_leaderboard", f"""
@@ -128,7 +130,7 @@ def top_customers(t) -> DataFrame:
                JOIN fresh f ON o.o_orderkey = f.o_orderkey GROUP BY o.o_custkey),
     scored AS (SELECT c_nationkey, o_custkey,
                       CAST(CAST(CAST(round(price * 100) AS BIGINT) AS DECIMAL(27, 9)) / 100 AS DECIMAL(27, 9)) AS amount
-               FROM latest JOIN customer ON o_custkey = c_custkey),
+               FROM latest LEFT JOIN customer ON o_custkey = c_custkey),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY amount DESC, o_custkey DESC) AS "rank"
                FROM scored WHERE amount <> 0)
     SELECT c_nationkey, o_custkey, amount, CAST("rank" AS INTEGER) AS "rank" FROM ranked WHERE "rank" <= 10""")

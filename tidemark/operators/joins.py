@@ -16,12 +16,13 @@ from tidemark.operators.running import HOT_ROWS, Running, running
 
 def interval_join(
     left: DataFrame, right: DataFrame, on: tuple[str, str], times: tuple[str, str], within: int,
-    delay: str = "24 hours",
+    delay: str = "24 hours", width: int | None = None,
 ) -> DataFrame:
     """Inner join of equal keys whose times lie at most ``within`` seconds apart; all pairs are kept.
 
-    Both sides are also matched on a time bucket of twice the interval (a right row falls into two at most),
-    so a hot key is spread over its buckets and only near rows are compared.  Works on streams too: there
+    Both sides are also matched on a time bucket of ``width`` seconds (twice the interval unless given; a right
+    row then falls into two at most), so a hot key is spread over its buckets and only near rows are compared.
+    Narrower buckets split a very hot key further, at the price of more copies of the right rows.  Works on streams too: there
     each side needs a TIMESTAMP column and gets a watermark of ``delay`` (a stream starts with a watermark of 1970,
     so rows stamped with the epoch itself count as late there).  Column names must not overlap.
     (Whole seconds are enough for the buckets: times at most ``within`` apart are so after rounding down too.)
@@ -29,10 +30,10 @@ def interval_join(
     (left_key, right_key), (left_time, right_time) = on, times
     if left.isStreaming or right.isStreaming:
         left, right = left.withWatermark(left_time, delay), right.withWatermark(right_time, delay)
-    width = max(2 * within, 1)
+    width = width or max(2 * within, 1)
     near = left.withColumn("__bucket", floor_div(epoch_seconds(left, left_time), width))
     moment = epoch_seconds(right, right_time)
-    spread = F.array_distinct(F.array(floor_div(moment - within, width), floor_div(moment + within, width)))
+    spread = F.sequence(floor_div(moment - within, width), floor_div(moment + within, width))
     far = right.withColumn("__spread", F.explode(spread))
     gap = _span(left, left_time, within)
     close = (F.col(right_time) >= F.col(left_time) - gap) & (F.col(right_time) <= F.col(left_time) + gap)

@@ -39,15 +39,16 @@ def leaderboard(state: DataFrame, group: str, member: str, score: str, k: int |
     return state.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def rank_all(state: DataFrame, group: str, member: str, score: str) -> DataFrame:
-    """Full ranking of groups of any size.
+def rank_all(state: DataFrame, group: str, member: str, score: str, partitions: int | None = None) -> DataFrame:
+    """Full ranking of groups of any size, over ``partitions`` ranges (``spark.sql.shuffle.partitions`` unless given).
 
     The rows are range-partitioned by (group, score, member), so a large group spans many partitions; the
     partition number is the chunk of a running count.  Range bounds come from a sample, so the partitioned
     rows are checkpointed once and both passes read the same chunks.
     """
     places = [F.col(group), F.col(score).desc(), F.col(member).desc()]
-    ranged = state.repartitionByRange(*places).withColumn("__part", F.spark_partition_id())
+    spread = state.repartitionByRange(partitions, *places) if partitions else state.repartitionByRange(*places)
+    ranged = spread.withColumn("__part", F.spark_partition_id())
     fixed = cut_lineage(ranged)
     ranked = running_by_chunk(fixed, [group], "__part", places[1:], [Running("rank", "count", F.lit(1))])
     return ranked.select(*state.columns, "rank")

@@ -31,10 +31,17 @@ def append_into(*producers: DataFrame) -> DataFrame:
 
 
 def write_stream(
-    df: DataFrame, path: str, checkpoint: str, once: bool = True, every: str = "10 seconds"
+    df: DataFrame, path: str, checkpoint: str, once: bool = True, every: str = "10 seconds",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append every result row to the Parquet dataset at ``path``, each once; ``once`` drains what is there."""
-    return _trigger(df.writeStream.format("parquet").outputMode("append"), checkpoint, once, every).start(path)
+    """Append every result row to the Parquet dataset at ``path``, each once; ``once`` drains what is there.
+
+    Partitioned by a ``topic`` column made with ``route_column``, one pass writes all routes of a router, in the
+    layout that ``topic_pattern`` reads.
+    """
+    writer = df.writeStream.format("parquet").outputMode("append")
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    return _trigger(writer, checkpoint, once, every).start(path)
 
 
 def write_kafka(
