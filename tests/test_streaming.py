@@ -9,7 +9,7 @@ from tidemark.operators.aggregates import changelog, first_per_key, latest_by, m
 from tidemark.operators.joins import interval_join, lookup_join
 from tidemark.plans import datasets as ds
 from tidemark.plans import dictionaries as fixed
-from tidemark.streaming import sinks, stateful
+from tidemark.streaming import batches, sinks, stateful
 
 
 class Feed:
@@ -58,6 +58,45 @@ def test_count_stream(feed, tmp_path, rows):
     assert rows(got) == rows(changelog(feed.batch, ["k"], {"n": ("count", "o")}, "o"))
 
 
+# Every key cut into chunks of 7 offsets, the whole state written every second batch.
+CUT = {"threshold": 0, "width": 7, "snapshot_every": 2}
+
+
+def test_monotone_and_changelog_logs(feed, spark, tmp_path, rows):
+    values = {"n": ("count", "t"), "s": ("sum", "t"), "m": ("max", "v"), "l": ("last", "t")}
+
+    def run():
+        sinks.drain(batches.monotone_log(feed.stream, str(tmp_path / "m"), str(tmp_path / "mp"), "k", "t", "o", **CUT))
+        sinks.drain(batches.changelog_log(feed.stream, str(tmp_path / "c"), str(tmp_path / "cp"), ["k"], values, "o", **CUT))
+        return rows(batches.read_rows(spark, str(tmp_path / "m"))), rows(batches.read_rows(spark, str(tmp_path / "c")))
+
+    def want():
+        return rows(monotone(feed.batch, "k", "t", "o")), rows(changelog(feed.batch, ["k"], values, "o"))
+
+    assert run() == want()
+    feed.add([(700, "a", 3, None), (701, "a", 99, None), (702, None, 1, None), (703, "new", None, None)])
+    assert run() == want()
+    feed.add([(800, "b", 50, None), (801, "a", 50, None)])
+    assert run() == want()
+
+
+def test_replayed_log_batch_changes_nothing(feed, spark, tmp_path, rows):
+    def run():
+        sinks.drain(batches.monotone_log(feed.stream, str(tmp_path / "m"), str(tmp_path / "mp"), "k", "t", "o"))
+        return rows(batches.read_rows(spark, str(tmp_path / "m")))
+
+    first = run()
+    forget_last_commit(tmp_path / "mp")
+    assert run() == first == rows(monotone(feed.batch, "k", "t", "o"))
+
+
+def forget_last_commit(progress):
+    """As if the driver was lost right after the last batch was written."""
+    last = max(int(p.name) for p in (progress / "commits").iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (progress / "commits" / name).unlink()
+
+
 def test_first_seen_and_dedup(feed, spark, tmp_path, rows):
     keys = rows(first_per_key(feed.batch, ["k"], "o").select("k"))
     assert rows(drain(stateful.first_seen(feed.stream.select("k"), ["k"]), tmp_path)) == keys
@@ -88,10 +127,7 @@ def test_replayed_batch_leaves_its_rows_once(feed, spark, tmp_path, rows):
         return rows(spark.read.parquet(path))
 
     first = run()
-    # Forget that the last batch was committed, as a driver lost right after the write would.
-    last = max(int(p.name) for p in (progress / "commits").iterdir() if p.name.isdigit())
-    for name in (f"{last}", f".{last}.crc"):
-        (progress / "commits" / name).unlink()
+    forget_last_commit(progress)
     assert run() == first
 
 
@@ -137,7 +173,12 @@ def test_lookup_stream(spark, tmp_path, rows):
     for how in ("inner", "left"):
         got = drain(stateful.lookup_stream(events.stream, updates.stream, ("k", "key"), ("o", "at"), ["x", "y"], how),
                     tmp_path, how)
-        assert rows(got) == rows(lookup_join(events.batch, updates.batch, ("k", "key"), ("o", "at"), ["x", "y"], how=how))
+        want = rows(lookup_join(events.batch, updates.batch, ("k", "key"), ("o", "at"), ["x", "y"], how=how))
+        assert rows(got) == want
+        path = str(tmp_path / f"log-{how}")
+        sinks.drain(batches.lookup_log(events.stream, updates.stream, path, path + "-progress", ("k", "key"), ("o", "at"),
+                                       ["x", "y"], how, **CUT))
+        assert rows(batches.read_rows(spark, path)) == want
 
 
 def test_typed_dataset_and_table_join_on_a_stream(spark, tmp_path, rows):

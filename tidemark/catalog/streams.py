@@ -14,7 +14,7 @@ from tidemark.catalog.tables import CHANGELOG_SQL, MONOTONE_SQL
 from tidemark.operators.filters import of_type
 from tidemark.operators.joins import interval_join
 from tidemark.session import shared_folder
-from tidemark.streaming import sinks, stateful
+from tidemark.streaming import batches, sinks, stateful
 
 
 def drained(t, df: DataFrame) -> DataFrame:
@@ -41,18 +41,26 @@ def _(t):
     return drained(t, pairs.select("signup_id", "purchase_id", "user_id"))
 
 
+def logged(t, start) -> DataFrame:
+    """Run a log of running values to its end and read it."""
+    folder = f"{shared_folder(t.spark)}/log-{uuid.uuid4().hex}"
+    sinks.drain(start(folder, f"{folder}/progress"))
+    return batches.read_rows(t.spark, folder)
+
+
 @query("st_monotone", MONOTONE_SQL)
 def _(t):
-    orders = t.stream("orders").withColumn("o_orderdate", utc("o_orderdate"))
-    kept = stateful.monotone_stream(orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
-                                    "o_orderdate", "o_orderkey")
-    return drained(t, kept.select("o_orderkey", "o_custkey"))
+    orders = t.stream("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return logged(t, lambda path, progress: batches.monotone_log(
+        orders, path, progress, "o_custkey", "o_orderdate", "o_orderkey")).select("o_orderkey", "o_custkey")
 
 
-@query("st_changelog", f"SELECT o_orderkey, o_custkey, n FROM ({CHANGELOG_SQL})")
+@query("st_changelog", CHANGELOG_SQL)
 def _(t):
-    rows = of_type(t.stream("orders"), "F", "o_orderstatus").select("o_orderkey", "o_custkey")
-    return drained(t, stateful.count_stream(rows, "o_custkey", "o_orderkey", "n"))
+    rows = of_type(t.stream("orders"), "F", "o_orderstatus").select("o_orderkey", "o_custkey", "o_orderpriority")
+    values = {"n": ("count", "o_orderkey"), "top": ("max", "o_orderpriority")}
+    return logged(t, lambda path, progress: batches.changelog_log(
+        rows, path, progress, ["o_custkey"], values, "o_orderkey")).drop("o_orderpriority")
 
 
 @query("st_lookup", as_of_sql("view", "signup", "ASOF JOIN"))
@@ -61,8 +69,8 @@ def _(t):
     signups = of_type(t.stream("events"), "signup", "event_type").select(
         F.col("user_id").alias("owner"), F.col("event_id").alias("at"), F.col("props").alias("seen_props"),
         F.col("event_id").alias("seen_id"))
-    return drained(t, stateful.lookup_stream(views, signups, ("user_id", "owner"), ("event_id", "at"),
-                                             ["seen_props", "seen_id"]))
+    return logged(t, lambda path, progress: batches.lookup_log(
+        views, signups, path, progress, ("user_id", "owner"), ("event_id", "at"), ["seen_props", "seen_id"]))
 
 
 @query("st_scores", """

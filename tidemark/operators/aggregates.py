@@ -5,7 +5,7 @@ Every aggregate here combines rows before the shuffle, so a hot key costs one ro
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -88,10 +88,15 @@ def monotone(
     A rejected row is below the accepted maximum by definition, so that maximum equals the maximum of all
     earlier rows and no recursion is needed.  Equal times pass; a key without a time so far passes anything.
     """
-    rows = running(df, [key], [order], [Running("__newest", "max", F.col(time))], inclusive=False,
-                   threshold=threshold, width=width)
+    folds, finish = monotone_parts(key, time)
+    return finish(running(df, [key], [order], folds, inclusive=False, threshold=threshold, width=width))
+
+
+def monotone_parts(key: str, time: str) -> tuple[list[Running], Callable[[DataFrame], DataFrame]]:
+    """``monotone`` as a running fold (of the rows before each row) and the filter on it."""
     newest = F.col("__newest")
-    return rows.where(newest.isNull() | F.col(key).isNull() | (F.col(time) >= newest)).drop("__newest")
+    fresh = newest.isNull() | F.col(key).isNull() | (F.col(time) >= newest)
+    return [Running("__newest", "max", F.col(time))], lambda rows: rows.where(fresh).drop("__newest")
 
 
 def collect_pages(

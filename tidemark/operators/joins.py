@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +62,17 @@ def lookup_join(
         return events.join(table, F.col(on[0]) == F.col("__key"), how).drop("__key")
     if mode != "as_of":
         raise ValueError(mode)
+    both, folds, finish = as_of_parts(events, updates, on, order, values, how)
+    return finish(running(both, [on[0]], AS_OF_ORDER, folds, threshold=threshold, width=width))
+
+
+AS_OF_ORDER = ["__order", "__side"]
+
+
+def as_of_parts(
+    events: DataFrame, updates: DataFrame, on: tuple[str, str], order: tuple[str, str], values: Sequence[str], how: str
+) -> tuple[DataFrame, list[Running], Callable[[DataFrame], DataFrame]]:
+    """The as-of join as a running fold: both sides as one, the folds over it, and how to read off the answer."""
     held = [f"__held_{v}" for v in values]
     asking = events.select("*", F.col(order[0]).alias("__order"), F.lit(1).alias("__side"))
     telling = updates.where(F.col(on[1]).isNotNull()).select(
@@ -70,14 +81,16 @@ def lookup_join(
     )
     if how == "inner":
         asking = asking.where(F.col(on[0]).isNotNull())
-    both = asking.unionByName(telling, allowMissingColumns=True)
-    state = [Running("__found", "max", F.col("__row"))]
-    state += [Running(f"__now_{v}", "last", F.col(h)) for v, h in zip(values, held)]
-    seen = running(both, [on[0]], ["__order", "__side"], state, threshold=threshold, width=width)
-    answered = seen.where(F.col("__side") == 1)
-    if how == "inner":
-        answered = answered.where(F.col("__found"))
-    return answered.select(*events.columns, *[F.col(f"__now_{v}").alias(v) for v in values])
+    folds = [Running("__found", "max", F.col("__row"))]
+    folds += [Running(f"__now_{v}", "last", F.col(h)) for v, h in zip(values, held)]
+
+    def finish(seen: DataFrame) -> DataFrame:
+        answered = seen.where(F.col("__side") == 1)
+        if how == "inner":
+            answered = answered.where(F.col("__found"))
+        return answered.select(*events.columns, *[F.col(f"__now_{v}").alias(v) for v in values])
+
+    return asking.unionByName(telling, allowMissingColumns=True), folds, finish
 
 
 def zip_changes(

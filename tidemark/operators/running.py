@@ -63,6 +63,14 @@ class Running:
     value: Column
 
 
+def totals_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Running]) -> DataFrame:
+    """The folds over all rows of each key, as columns ``__all_<out>``; NULL keys form no group."""
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    return df.where(present(keys)).groupBy(*keys).agg(
+        *[FOLDS[f.kind].total(f.value, rank).alias(f"__all_{f.out}") for f in folds]
+    )
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS, limit: int = HOT_LIMIT) -> DataFrame:
     """The heaviest keys with more than ``threshold`` rows, at most ``limit`` of them, without NULL keys."""
     counts = df.where(present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > threshold)
@@ -90,6 +98,7 @@ def running(
 
     ``order[0]`` must be an integer offset or a time, and the whole list must order a key's rows totally.
     Rows with a NULL key are folded per chunk only (a NULL key equals nothing, so no history is carried).
+    The input is read three times, twice for a few columns only; save it first when it is costly to make.
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(df, keys, threshold))
@@ -117,16 +126,12 @@ def running_by_chunk(
     ``cut`` holds the rows of the keys that are cut, if not all of them.  The rows are shuffled once, by key and
     chunk; the join with the carried values reuses that partitioning.
     """
-    rank = order[0] if len(order) == 1 else F.struct(*order)
-    rank = F.col(rank) if isinstance(rank, str) else rank
     cell = [*keys, chunk]
     frame_end = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
     here = df.select("*", *[FOLDS[f.kind].inside(f.value).over(inside).alias(f"__here_{f.out}") for f in folds])
 
-    totals = (df.where(present(keys)) if cut is None else cut).groupBy(*cell).agg(
-        *[FOLDS[f.kind].total(f.value, rank).alias(f"__all_{f.out}") for f in folds]
-    )
+    totals = totals_by(df if cut is None else cut, cell, order, folds)
     earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *cell, *[FOLDS[f.kind].over_totals(F.col(f"__all_{f.out}")).over(earlier).alias(f"__before_{f.out}")

@@ -41,7 +41,7 @@ def write_stream(
     """
     writer = df.writeStream.format("parquet").outputMode("append")
     writer = writer.partitionBy(*partition_by) if partition_by else writer
-    return _trigger(writer, checkpoint, once, every).start(path)
+    return triggered(writer, checkpoint, once, every).start(path)
 
 
 def write_kafka(
@@ -50,7 +50,7 @@ def write_kafka(
     """Append every result row to a Kafka topic as JSON (needs Spark's Kafka connector on the class path)."""
     writer = to_records(df, key).writeStream.format("kafka").outputMode("append")
     writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
-    return _trigger(writer, checkpoint, once, every).start()
+    return triggered(writer, checkpoint, once, every).start()
 
 
 def upsert(
@@ -67,10 +67,10 @@ def upsert(
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = df.writeStream.outputMode(mode).foreachBatch(write)
-    return _trigger(writer, checkpoint, once, every).start()
+    return triggered(writer, checkpoint, once, every).start()
 
 
-def _trigger(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
 

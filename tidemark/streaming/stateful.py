@@ -1,4 +1,8 @@
-"""Keyed state over streams: latest values, first occurrence, dedup, stale-row removal, changelog, table lookup."""
+"""Keyed state over streams: latest values, first occurrence, dedup, stale-row removal, changelog, table lookup.
+
+The last three take a key's rows of one micro-batch in one task: bound the micro-batch at the source, or use the forms
+in ``batches``, which cut hot keys.
+"""
 
 from __future__ import annotations
 
