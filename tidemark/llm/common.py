@@ -158,3 +158,42 @@ def windows(hashes: np.ndarray, per_doc: np.ndarray, width: int) -> tuple[np.nda
     whole = doc[:n] == doc[width - 1 :]
     place = np.arange(n) - first[doc[:n]]
     return mixed(out[whole]), doc[:n][whole], place[whole]
+
+
+def packed_texts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of compressed blocks: the long columns ``keys`` of some documents and their texts, zstd-compressed together.
+
+    A shuffle of these moves a third to a half of what the texts themselves take.  ``unpacked`` reads a block.  ``chunk`` is
+    the number of the partition they come from.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("text"))
+            chunk = batch.column("chunk")
+            for i, j in blocks(np.diff(offsets)):
+                head = [np.array([j - i], np.int64), offsets[i : j + 1] - offsets[i]]
+                for key in keys:
+                    column = batch.column(key).slice(i, j - i)
+                    head += [np.asarray(column.is_null().to_numpy(zero_copy_only=False), np.int64),
+                             column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)]
+                raw = b"".join(x.tobytes() for x in head) + data[offsets[i] : offsets[j]].tobytes()
+                yield pa.record_batch([chunk.slice(i, 1), pa.array([squeeze.compress(raw)], pa.binary())], names=["chunk", "block"])
+
+    return rows.mapInArrow(run, "chunk int, block binary")
+
+
+def unpacked(block: bytes, n_keys: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Keys, which of them are NULL, the texts' bytes and their offsets."""
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(block)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    numbers = np.frombuffer(raw, np.int64, n + 1 + 2 * n * n_keys, 8)
+    offsets, rest = numbers[: n + 1], numbers[n + 1 :].reshape(2 * n_keys, n)
+    data = np.frombuffer(raw, np.uint8, int(offsets[-1]), 8 + numbers.nbytes)
+    return list(rest[1::2]), [x.astype(bool) for x in rest[0::2]], data, offsets
