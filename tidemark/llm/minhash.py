@@ -20,6 +20,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5  # a pair at 0.8 shares no band with probability (1 - 0.8**5)**28 = 1.5e-5
 K = BANDS * ROWS
+#: Up to so many ids (8 bytes each, counted first) are broadcast to pick the texts to compare.
+BROADCAST_IDS = 2_000_000
 
 
 def shingles(hashes: np.ndarray, per_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +167,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs with their exact similarity.  A text's set is sent once per pair it is the larger end of; hot ends are split by
     adaptive execution, and the comparison needs no group together."""
     wanted = pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))).distinct()
-    sets = texts.join(wanted, "rid", "left_semi").select("rid", "text").mapInArrow(_sets, "id long, set binary")
+    wanted = save_table(wanted, "compared")
+    few = wanted.count() <= BROADCAST_IDS  # beyond it the texts are joined by a shuffle
+    sets = texts.join(F.broadcast(wanted) if few else wanted, "rid", "left_semi").select("rid", "text").mapInArrow(_sets, "id long, set binary")
     sets = save_table(sets, "shingle-sets")
     joined = pairs.join(sets.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v")
     joined = joined.join(sets.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u")
@@ -178,7 +182,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Classes are the connected components of links between texts whose weighted Jaccard similarity over five-word shingles
     is at least ``similarity``.  Rows with equal words are folded into one text first.  Within a band's bucket every text is
-    compared with two leaders (least id, least hash of id); texts of one bucket that are still in different components are
+    compared with two leaders (the least id, and the text that meets most others in its buckets); texts of one bucket that are still in different components are
     then compared with each other, unless their similarities to the leader already rule a link out (the distance is a
     metric).  So no link between texts that share a band is lost, and no bucket is multiplied out.  Texts without words form
     one class.  An empty table gives no rows.
@@ -188,10 +192,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     firsts = save_table(signed.groupBy("key").agg(F.min(F.struct("rid", "bands")).alias("s")).select(
         "key", F.col("s.rid").alias("id"), F.col("s.bands").alias("bands")), "texts")
     buckets = firsts.filter(F.octet_length("bands") > 0).select("id", "bands").mapInArrow(_exploded, "id long, bucket long")
-    led = buckets.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("id").alias("first"), F.min(F.struct(F.xxhash64("id"), F.col("id"))).alias("second")
-    ).filter("n > 1").select("bucket", "first", F.col("second.id").alias("second"))
-    shared = save_table(buckets.join(led, "bucket"), "buckets")
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = save_table(buckets.join(sizes, "bucket"), "bucket-members")
+    # A text that meets many others stands in the middle of its group; the one that meets most leads.
+    hubs = met.groupBy("id").agg(F.sum("n").alias("meets"))
+    led = met.join(hubs, "id").groupBy("bucket").agg(
+        F.min("id").alias("first"), F.max(F.struct(F.col("meets"), -F.col("id"))).alias("hub"))
+    shared = save_table(met.join(led.select("bucket", "first", (-F.col("hub.col2")).alias("second")), "bucket"), "buckets")
     star = shared.select(F.explode(F.array("first", "second")).alias("u"), F.col("id").alias("v")).filter("u <> v")
     star = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     checked = save_table(_verified(save_table(star, "pairs"), rows), "links")
