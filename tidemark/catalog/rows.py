@@ -210,10 +210,10 @@ def _(t):
 
 
 @query("flt_relevant_array", """
-    SELECT page_id FROM pages WHERE list_has_any(string_split(url, '/'), ['blog', 'news', 'docs', 'page', '1', '2'])""")
+    SELECT page_id FROM pages WHERE list_has_any(string_split(url, '/'), ['fr', 'en', 'blog', 'news', '1', '2'])""")
 def _(t):
     pages = t.pages.withColumn("parts", F.split("url", "/"))
-    return flt.relevant(pages, "parts", ["blog", "news", "docs", "page", "1", "2"]).select("page_id")
+    return flt.relevant(pages, "parts", ["fr", "en", "blog", "news", "1", "2"]).select("page_id")
 
 
 @query("flt_not_self", "SELECT event_id, user_id FROM events WHERE user_id IS DISTINCT FROM 0")
@@ -238,15 +238,22 @@ def _(t):
 @query("sc_shift_decimal", """
     SELECT o_orderkey, TRY_CAST(left(lpad(t, 27, '0'), 25) || '.' || right(lpad(t, 27, '0'), 2) AS DECIMAL(27, 9))
            AS amount
-    FROM (SELECT o_orderkey, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS t FROM orders)""")
+    FROM (SELECT o_orderkey, CASE WHEN length(t) <= 27 THEN t END AS t FROM (
+      SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN repeat('7', 19 + CAST(o_orderkey % 10 AS INT)) ELSE '' END
+             || CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS t FROM orders))""")
 def _(t):
-    return t.orders.select("o_orderkey", sc.shift_decimal(cents("o_totalprice").cast("string"), F.lit(2)).alias("amount"))
+    sevens = F.when(F.col("o_orderkey") % 5 == 0, F.repeat(F.lit("7"), (19 + F.col("o_orderkey") % 10).cast("int"))).otherwise("")
+    text = F.concat(sevens, cents("o_totalprice").cast("string"))
+    return t.orders.select("o_orderkey", sc.shift_decimal(text, F.lit(2)).alias("amount"))
 
 
 @query("sc_normalise", """
-    SELECT conv_id, turn, role, upper(trim(role, ' ')) = 'USER' AS is_user FROM conversations""")
+    SELECT conv_id, turn, role, lower(role) = 'user' AND turn % 6 <> 5 AS is_user FROM conversations""")
 def _(t):
-    return t.conversations.select("conv_id", "turn", "role", (sc.shout("role") == "USER").alias("is_user"))
+    # white space of five kinds around the role; in every sixth turn there is some inside, which has to stay
+    around = F.element_at(F.array(*[F.lit(x) for x in ("", " ", "\t", "\r\n", " \u00a0\n", "")]), (F.col("turn") % 6 + 1).cast("int"))
+    typed = F.when(F.col("turn") % 6 == 5, F.concat(F.lit("us \t"), F.col("role"))).otherwise(F.concat(around, "role", around))
+    return t.conversations.select("conv_id", "turn", "role", (sc.shout(typed) == "USER").alias("is_user"))
 
 
 @query("sc_template", "SELECT n_nationkey, 'Welcome ' || n_name || '! ' || n_name || ' is live.' AS text FROM nation")

@@ -22,10 +22,10 @@ def tolerant(value: Column | str, to: str) -> Column:
 def shift_decimal(amount: Column | str, decimals: Column | str) -> Column:
     """Integer text scaled down by ``decimals`` places, as DECIMAL(27, 9).
 
-    The text is zero-padded (or cut) to 27 digits and split ``decimals`` from the right; anything that
-    does not fit the type, and NULL on either side, becomes NULL.
+    The text is zero-padded to 27 digits and split ``decimals`` from the right; longer texts, anything that
+    does not fit the type, and NULL on either side, become NULL.
     """
-    digits = F.lpad(as_col(amount), AMOUNT_DIGITS, "0")
+    digits = F.when(F.length(as_col(amount)) <= AMOUNT_DIGITS, F.lpad(as_col(amount), AMOUNT_DIGITS, "0"))
     places = as_col(decimals)
     whole = F.substring(digits, F.lit(1), F.lit(AMOUNT_DIGITS) - places)
     fraction = F.substring(digits, F.lit(AMOUNT_DIGITS + 1) - places, places)
@@ -33,8 +33,8 @@ def shift_decimal(amount: Column | str, decimals: Column | str) -> Column:
 
 
 def shout(text: Column | str) -> Column:
-    """Trimmed, upper-cased text, for comparing commands typed by people."""
-    return F.upper(F.trim(as_col(text)))
+    """Upper-cased text without white space of any kind around it, for comparing commands typed by people."""
+    return F.upper(F.regexp_replace(as_col(text), r"^[\s\u00a0\ufeff]+|[\s\u00a0\ufeff]+$", ""))
 
 
 def fill_template(template: str, **fields: Column | str) -> Column:

@@ -123,13 +123,13 @@ def at_position(items: Column | str, index: Column | int) -> Column:
 def with_dictionary(df: DataFrame, dictionary: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join with a literal dictionary: no entry, no row.
 
-    Meant for dictionaries written in code (tens of rows), whose size is fixed; others go through ``enrich``.
+    No broadcast hint: Spark broadcasts what it knows to be under its size threshold.
     """
-    return df.join(F.broadcast(dictionary), list(on), "inner")
+    return df.join(dictionary, list(on), "inner")
 
 
-def hydrate(keys: DataFrame, records: DataFrame, on: str, body: str, max_size: int | None = MAX_RECORD_BYTES) -> DataFrame:
-    """Every key with its full record; a missing record leaves the body NULL, an oversize one drops the key."""
+def hydrate(keys: DataFrame, records: DataFrame, on: str, body: str, max_size: int | None = None) -> DataFrame:
+    """Every key with its full record; a missing record leaves the body NULL.  ``max_size`` drops keys with a larger one."""
     found = keys.join(records, on, "left")
     if max_size is None:
         return found
