@@ -189,7 +189,8 @@ def main_text(page: str, template: list[list[int]] | None) -> str:
         for i, s in enumerate(tokens):
             if s[1]:
                 places.setdefault(s[1], i)
-        for keys in template:  # a class holds on this page if its tokens are there in order
+        for signed in template:  # a class holds on this page if its tokens are there in order
+            keys = [k & (1 << 64) - 1 for k in signed]
             here = [places[k] for k in keys if k in places]
             if len(here) == len(keys) and here == sorted(here):
                 fixed.update(keys)

@@ -164,11 +164,11 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
-    """The fitted table, bias and logistic curve; without labels of both kinds, a constant score."""
+    """The fitted table, bias and logistic curve; without labels of both kinds, a constant score (0.1 without any)."""
     sample = labelled(docs, labels).cache()
     try:
         n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("extra"), F.lit(0))).first()
-        flat = {"table": np.zeros(LETTERS**3, np.float32), "bias": 0.0, "slope": 0.0, "shift": _logit((toxic + 0.5) / (n + 1))}
+        flat = {"table": np.zeros(LETTERS**3, np.float32), "bias": 0.0, "slope": 0.0, "shift": _logit((toxic + 0.5) / (n + 5))}
         if not toxic or toxic == n:
             return flat
         # In how many toxic and other documents does each word of their sentences occur?
