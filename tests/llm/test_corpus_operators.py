@@ -295,13 +295,13 @@ def test_exchange_finds_languages():
 
 def test_main_text(spark):
     page = ("<html><head><title>t</title><style>p{}</style></head><body class='home'><nav><a>Menu</a></nav><div class='cookie-notice'>Yes</div>"
-            "<article><h1>Head %d</h1><p>One &amp; %d two<br>three <b>bold</p><p>Next\n %d</article><aside>Side</aside><div id=comments>Nice!</div>"
+            "<article><h1>Head %d</h1><p>One &amp; %d two<br>three <b>bold %d</p><p>Next\n %d</article><aside>Side</aside><div id=comments>Nice!</div>"
             "<script>var a='<p>no</p>';</script><footer>&copy; x</footer></body></html>")
-    pages = [(i, f"http://h.example/{i}", page % (i, i, i)) for i in range(8)]
-    pages += [(100, None, None), (101, "http://h.example/e", ""), (102, "http://o.example", "<p>a<p>b</p>text < 3"), (0, "http://h.example/0", page % (0, 0, 0))]
+    pages = [(i, f"http://h.example/{i}", page % (i, i, i, i)) for i in range(8)]
+    pages += [(100, None, None), (101, "http://h.example/e", ""), (102, "http://o.example", "<p>a<p>b</p>text < 3"), (0, "http://h.example/0", page % (0, 0, 0, 0))]
     got = Counter((r.page_id, r.text, r.n_chars) for r in template.extract_main_text(
         spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("host", F.lit("x")).withColumn("rid", F.lit(1))).collect())
-    text = lambda i: f"Head {i}\n\nOne & {i} two three bold\n\nNext {i}"
+    text = lambda i: f"Head {i}\n\nOne & {i} two three bold {i}\n\nNext {i}"
     want = Counter((i, text(i), len(text(i))) for i in [*range(8), 0]) + Counter({(100, "", 0): 1, (101, "", 0): 1, (102, "a\n\nb\n\ntext < 3", 14): 1})
     assert got == want
 
