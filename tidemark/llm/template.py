@@ -198,7 +198,7 @@ def main_text(page: str, template: list[list[int]] | None) -> str:
     for s in tokens:
         if not s[0] and not s[3]:
             own = blocks.setdefault(s[2], ["", False])
-            own[0] += "" if s[1] in fixed else s[5]
+            own[0] += " " if s[1] in fixed else s[5]
             own[1] |= s[4]
     texts = [(" ".join(text.split()), inside) for text, inside in blocks.values()]
     if any(inside and text for text, inside in texts):
