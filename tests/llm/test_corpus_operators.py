@@ -158,6 +158,39 @@ def test_near_duplicates(spark, rows, nothing):
     assert minhash.duplicate_classes(nothing).count() == 0
 
 
+def test_open_buckets_in_blocks(spark, monkeypatch):
+    """Members of one bucket around the threshold: cells of any size join what comparing all pairs joins."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            w[rng.randrange(len(w))] = f"v{rng.randrange(10**6)}"
+        texts.append((i, " ".join(w)))
+    rows = minhash.save_table(spark.createDataFrame(texts, "rid long, text string"), "test")
+    sets = [shingled(t) for _, t in texts]
+    near = [(i, j) for i in range(90) for j in range(i) if sum((sets[i] & sets[j]).values()) / sum((sets[i] | sets[j]).values()) >= 0.8]
+
+    def groups(links):
+        parent = list(range(90))
+        for u, v in links:
+            a, b = parent[u], parent[v]
+            parent = [a if x == b else x for x in parent]
+        found = defaultdict(set)
+        for i, x in enumerate(parent):
+            found[x].add(i)
+        return sorted(map(sorted, found.values()))
+
+    assert 1 < len(groups(near)) < 90
+    rest = rows.selectExpr("1L AS bucket", "rid AS id", "rid AS label", "CAST(NULL AS DOUBLE) AS similarity")
+    for cell, run in ((1 << 24, 1 << 18), (9000, 200), (2000, 1)):
+        monkeypatch.setattr(minhash, "CELL_BYTES", cell)
+        monkeypatch.setattr(minhash, "COMPARED", run)
+        got = [(r.u, r.v) for r in minhash._late_links(rest, rows, 0.8).collect()]
+        assert set(got) <= {(j, i) for i, j in near} and groups(got) == groups(near)
+
+
 def test_signature_is_weighted_jaccard():
     elements = np.arange(1, 201, dtype=np.uint64)
     a, b = np.ones(200), np.ones(200)

@@ -22,6 +22,9 @@ BANDS, ROWS = 28, 5  # a pair at 0.8 shares no band with probability (1 - 0.8**5
 K = BANDS * ROWS
 #: Up to so many ids (8 bytes each, counted first) are broadcast to pick the texts to compare.
 BROADCAST_IDS = 2_000_000
+#: Sets of one bucket are compared in blocks of about so many bytes, and in runs of so many elements.
+CELL_BYTES = 16 << 20
+COMPARED = 1 << 18
 
 
 def shingles(hashes: np.ndarray, per_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,19 +166,115 @@ def _similar(batches):
         yield pa.record_batch([batch.column("u"), batch.column("v"), pa.array(near, pa.float64())], names=["u", "v", "similarity"])
 
 
+def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, set) of the texts in ``ids`` (column ``id``), written once."""
+    wanted = save_table(ids.select(F.col("id").alias("rid")).distinct(), "compared")
+    few = wanted.count() <= BROADCAST_IDS  # beyond it the texts are joined by a shuffle
+    sets = texts.join(F.broadcast(wanted) if few else wanted, "rid", "left_semi").select("rid", "text").mapInArrow(_sets, "id long, set binary")
+    return save_table(sets, "shingle-sets")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs with their exact similarity.  A text's set is sent once per pair it is the larger end of; hot ends are split by
     adaptive execution, and the comparison needs no group together."""
-    wanted = pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))).distinct()
-    wanted = save_table(wanted, "compared")
-    few = wanted.count() <= BROADCAST_IDS  # beyond it the texts are joined by a shuffle
-    sets = texts.join(F.broadcast(wanted) if few else wanted, "rid", "left_semi").select("rid", "text").mapInArrow(_sets, "id long, set binary")
-    sets = save_table(sets, "shingle-sets")
+    sets = _sets_of(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))), texts)
     joined = pairs.join(sets.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v")
     joined = joined.join(sets.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u")
     return joined.mapInArrow(_similar, "u long, v long, similarity double")
 
 
+def forest(sets: list, label: np.ndarray, lead: np.ndarray, left: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """Links of at least ``similarity`` that connect what ``label`` leaves apart: pairs of places, at most one per merge.
+
+    Every pair of sets with different labels is compared, unless an earlier link has joined their components, their weights
+    differ too much, or their similarities to one leader (``lead``; NaN: none) rule it out, as the distance is a metric.
+    ``left`` says which places are of the left block: only pairs across the blocks count (None: one block, all pairs).
+    """
+    element = [np.frombuffer(s, np.uint64, len(s) // 12) for s in sets]
+    weight = [np.frombuffer(s, "<u4", len(s) // 12, len(s) // 12 * 8).astype(np.int64) for s in sets]
+    total = np.array([w.sum() for w in weight], np.int64)
+    part = label.copy()
+    found = []
+    for i in range(len(sets)) if left is None else np.flatnonzero(left).tolist():
+        open_ = part != part[i]
+        if left is None:
+            open_[:i] = False
+        else:
+            open_ &= ~left
+        open_ &= np.minimum(total, total[i]) >= (similarity - 1e-9) * np.maximum(total, total[i])
+        open_ &= ~(np.abs(lead - lead[i]) > 1 - similarity + 1e-9)
+        others = np.flatnonzero(open_)
+        sizes = np.cumsum([len(element[j]) for j in others.tolist()])
+        at = 0
+        while at < len(others):  # others in runs of a bounded number of elements
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + COMPARED)))
+            run = others[at:to]
+            at = to
+            run = run[part[run] != part[i]]
+            if not len(run):
+                continue
+            y, m = np.concatenate([element[j] for j in run]), np.concatenate([weight[j] for j in run])
+            place = np.minimum(np.searchsorted(element[i], y), len(element[i]) - 1)
+            common = np.where(element[i][place] == y, np.minimum(m, weight[i][place]), 0)
+            first = np.cumsum([0, *[len(element[j]) for j in run[:-1]]])
+            both = np.add.reduceat(common, first)
+            for j in run[both / (total[i] + total[run] - both) >= similarity].tolist():
+                if part[i] != part[j]:
+                    found.append((i, j))
+                    part[part == part[j]] = part[i]
+    return found
+
+
+def _cell_links(batches, similarity: float):
+    """Links within each cell (bucket, lo, hi); the rows of a cell follow each other."""
+    import pyarrow as pa
+
+    def links(cell: pa.Table):
+        lo, hi = cell["lo"][0].as_py(), cell["hi"][0].as_py()
+        left = None if lo == hi else cell["block"].to_numpy() == lo
+        ids = cell["id"].to_numpy()
+        sets = [s.as_buffer() for s in cell["set"]]
+        lead = cell["similarity"].to_numpy().astype(np.float64)
+        pairs = np.array(forest(sets, cell["label"].to_numpy(), lead, left, similarity), np.int64).reshape(-1, 2)
+        u, v = ids[pairs[:, 0]], ids[pairs[:, 1]]
+        return pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+    held = []  # parts of the cell that the last batch ended in
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        key = np.stack([table[c].to_numpy() for c in ("bucket", "lo", "hi")])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        if held and any(held[-1][c][0].as_py() != table[c][0].as_py() for c in ("bucket", "lo", "hi")):
+            yield links(pa.concat_tables(held))
+            held = []
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), table.num_rows], strict=True):
+            held.append(table.slice(a, b - a))
+            if b < table.num_rows:
+                yield links(pa.concat_tables(held))
+                held = []
+    if held:
+        yield links(pa.concat_tables(held))
+
+
+def _late_links(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between rows of ``rest`` (bucket, id, label, similarity to the bucket's first) of one bucket and different labels.
+
+    No pairs are made as rows: a bucket's sets are dealt into blocks of about CELL_BYTES, every two blocks meet in a cell of
+    their own, and a cell gives only the links that join components.  So a task holds two blocks, however large the bucket.
+    """
+    sets = _sets_of(rest, texts)
+    sizes = rest.join(sets.select("id", F.octet_length("set").alias("bytes")), "id").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    parts = sizes.select("bucket", F.ceil(F.col("bytes") / CELL_BYTES).cast("int").alias("parts"))
+    dealt = rest.join(parts, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = dealt.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                         "id", "label", "similarity").join(sets, "id")
+    cells = cells.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "id")
+    return cells.mapInArrow(lambda batches: _cell_links(batches, similarity), "u long, v long").distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: ``rid`` (its place, ``monotonically_increasing_id``), ``doc_id``, ``text_rid`` (the first
     row with the same words in the same order) and ``class_rid`` (the first row of its class).
@@ -183,8 +282,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     Classes are the connected components of links between texts whose weighted Jaccard similarity over five-word shingles
     is at least ``similarity``.  Rows with equal words are folded into one text first.  Within a band's bucket every text is
     compared with two leaders (the least id, and the text that meets most others in its buckets); texts of one bucket that are still in different components are
-    then compared with each other, unless their similarities to the leader already rule a link out (the distance is a
-    metric).  So no link between texts that share a band is lost, and no bucket is multiplied out.  Texts without words form
+    then compared with each other in blocks (``_late_links``), unless an earlier link has joined them or their similarities to
+    the leader rule a link out.  So no link between components of texts that share a band is lost, and no pairs are emitted.  Texts without words form
     one class.  An empty table gives no rows.
     """
     rows = rows_of(docs, F.monotonically_increasing_id().alias("rid"))
@@ -208,19 +307,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # What the stars left open: texts of one bucket in different components, neither of them a leader.
     label = lambda df: df.join(found.withColumnRenamed("root", "label"), "id", "left").withColumn(
         "label", F.coalesce("label", "id"))
-    labelled = label(shared)
+    labelled = label(shared).filter("id <> first AND id <> second")
     open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_ = open_.filter("low < high").select("bucket")
     known = checked.select(F.col("u").alias("first"), F.col("v").alias("id"), "similarity")
-    rest = labelled.join(open_, "bucket", "left_semi").filter("id <> first AND id <> second")
+    rest = labelled.join(open_, "bucket", "left_semi")
     rest = rest.join(known, ["first", "id"], "left").select("bucket", "id", "label", "similarity")
-    a, b = (rest.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "label", "similarity")]) for s in "ab")
-    apart = F.abs(F.col("similarity_a") - F.col("similarity_b")) <= 1 - similarity + 1e-9
-    open_pairs = a.join(b, "bucket").filter((F.col("label_a") < F.col("label_b")) & F.coalesce(apart, F.lit(True)))
-    open_pairs = open_pairs.select(F.least("id_a", "id_b").alias("u"), F.greatest("id_a", "id_b").alias("v")).distinct()
-    open_pairs = save_table(open_pairs.join(checked.select("u", "v"), ["u", "v"], "left_anti"), "open-pairs")
-    if not open_pairs.isEmpty():
-        late = save_table(_verified(open_pairs, rows), "late-links").filter(F.col("similarity") >= similarity).select("u", "v")
+    rest = save_table(rest, "open-members")
+    if not rest.isEmpty():
+        late = save_table(_late_links(rest, rows, similarity), "late-links")
         if not late.isEmpty():
             found = components(links.unionByName(late))
 
