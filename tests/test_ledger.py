@@ -62,7 +62,7 @@ def test_latest_balances_and_boards(spark, rows):
         change(8, "store", "base", "500", 0),
         change(8, "ann", "unbonded", "1"),
     )
-    for split in ({}, {"threshold": 0, "width": 2}):
+    for split in ({}, {"width": 2}):
         got = ds.latest_bonding_token_account_balances(log, **split)
         assert rows(got.select("pubkey", F.col("tokenAmount").cast("double"), "tokenBonding")) == [
             ("ann", 2.0, "B"), ("bob", 7.0, "B"), ("cy", 0.0, "B"), ("cy", 3.0, "B"), ("dee", 4.0, "B")]

@@ -1,4 +1,4 @@
-"""Running values: the cut form equals a row-by-row fold, whatever the keys, NULLs, chunk widths and thresholds."""
+"""Running values: the cut form equals a row-by-row fold, whatever the keys, NULLs, chunk widths."""
 
 import random
 
@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.aggregates import changelog, collect_pages, dedup, first_per_key, latest_by, latest_rows, monotone
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.ranking import leaderboard, next_number, rank_all
-from tidemark.operators.running import Running, hot_keys, running
+from tidemark.operators.running import Running, running
 
-# (threshold, width): plain window; every key cut into tiny pieces; hot keys cut only.
-CUTS = [(10**9, None), (0, 3), (0, 1), (15, 10)]
+# Chunk widths: the default (one chunk here), tiny pieces, every place its own chunk, some places together.
+CUTS = [None, 3, 1, 10]
 
 
 def sample(seed, size=300):
@@ -30,9 +30,9 @@ def fold(data, start, step):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("threshold,width", CUTS)
+@pytest.mark.parametrize("width", CUTS)
 @pytest.mark.parametrize("seed", [1, 2])
-def test_monotone_equals_fold(spark, seed, threshold, width):
+def test_monotone_equals_fold(spark, seed, width):
     data = sample(seed)
 
     def accept(newest, row):
@@ -44,7 +44,7 @@ def test_monotone_equals_fold(spark, seed, threshold, width):
         return newest, None
 
     df = spark.createDataFrame(data, "o BIGINT, k STRING, t INT").repartition(3)
-    got = sorted((tuple(r) for r in monotone(df, "k", "t", "o", threshold, width).collect()), key=str)
+    got = sorted((tuple(r) for r in monotone(df, "k", "t", "o", width).collect()), key=str)
     assert got == fold(data, None, accept)
 
 
@@ -57,8 +57,8 @@ def test_monotone_golden(spark):
     assert run([]) == []
 
 
-@pytest.mark.parametrize("threshold,width", CUTS)
-def test_all_folds(spark, threshold, width):
+@pytest.mark.parametrize("width", CUTS)
+def test_all_folds(spark, width):
     data = [r for r in sample(7) if r[1] is not None]
 
     def step(state, row):
@@ -72,13 +72,13 @@ def test_all_folds(spark, threshold, width):
 
     df = spark.createDataFrame(data, "o BIGINT, k STRING, v INT").repartition(3)
     values = {"n": ("count", "v"), "s": ("sum", "v"), "m": ("max", "v"), "l": ("last", "v")}
-    got = changelog(df, ["k"], values, "o", threshold, width).select("o", "k", "n", "s", "m", "l").collect()
+    got = changelog(df, ["k"], values, "o", width).select("o", "k", "n", "s", "m", "l").collect()
     assert sorted((tuple(r) for r in got), key=str) == fold(data, (0, None, None, None), step)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("threshold,width", CUTS)
-def test_as_of_equals_fold(spark, how, threshold, width):
+@pytest.mark.parametrize("width", CUTS)
+def test_as_of_equals_fold(spark, how, width):
     data = sample(11)
     rng = random.Random(5)
     sides = [(o, k, v, rng.random() < 0.3) for o, k, v in data]
@@ -94,7 +94,7 @@ def test_as_of_equals_fold(spark, how, threshold, width):
 
     events = spark.createDataFrame([(o, k) for o, k, _, u in sides if not u], "o BIGINT, k STRING")
     updates = spark.createDataFrame([(k, o, v) for o, k, v, u in sides if u], "key STRING, at BIGINT, v INT")
-    got = lookup_join(events, updates, ("k", "key"), ("o", "at"), ["v"], how=how, threshold=threshold, width=width)
+    got = lookup_join(events, updates, ("k", "key"), ("o", "at"), ["v"], how=how, width=width)
     assert sorted((tuple(r) for r in got.collect()), key=str) == fold(sides, (False, None), step)
 
 
@@ -115,33 +115,49 @@ def test_time_order_is_cut_by_hour(spark):
     data = [(f"2024-01-01 {h:02d}:{m:02d}:00", "k", h * 60 + m) for h in range(4) for m in (0, 30)]
     df = spark.createDataFrame(data, "ts STRING, k STRING, v INT").select(F.to_timestamp("ts").alias("ts"), "k", "v")
     for frame in (df, df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))):
-        got = running(frame, ["k"], ["ts"], [Running("n", "count", F.lit(1))], threshold=0)
+        got = running(frame, ["k"], ["ts"], [Running("n", "count", F.lit(1))])
         assert [r.n for r in got.orderBy("ts").collect()] == list(range(1, 9))
 
 
-def test_hot_keys_are_bounded_and_exact(spark):
-    df = spark.range(100).select(F.when(F.col("id") < 60, "x").when(F.col("id") < 90, "y").otherwise(None).alias("k"))
-    assert [r.k for r in hot_keys(df, ["k"], 20).orderBy("k").collect()] == ["x", "y"]
-    assert [r.k for r in hot_keys(df, ["k"], 20, limit=1).collect()] == ["x"]
+@pytest.mark.parametrize("width", CUTS)
+def test_null_orders_come_first_and_null_keys_are_one_group(spark, width):
+    data = [(o, k, t) for k in ("k", None) for t, o in enumerate([None, 4, 5, 9, 10, 30])]
+    df = spark.createDataFrame(data, "o BIGINT, k STRING, t INT")
+    folds = [Running("n", "count", F.lit(1)), Running("s", "sum", F.col("t")), Running("m", "max", F.col("t")),
+             Running("l", "last", F.when(F.col("t") < 3, F.col("t")))]
+    got = running(df, ["k"], ["o"], folds, width=width).collect()
+    assert sorted((r.t, r.n, r.s, r.m, r.l) for r in got if r.k is None) == [
+        (t, t + 1, t * (t + 1) // 2, t, min(t, 2)) for t in range(6)]
+    assert len(got) == 12 and sorted(r[2:] for r in got if r.k) == sorted(r[2:] for r in got if not r.k)
 
 
-@pytest.mark.parametrize("threshold,width", CUTS)
-def test_dedup_horizon(spark, threshold, width):
+def test_rows_are_shuffled_once_and_nothing_is_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).selectExpr("id AS o", "id % 3 AS k", "repeat('x', 10) AS wide")
+        plan = running(df, ["k"], ["o"], [Running("n", "count", F.lit(1))])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 4 and "Broadcast" not in plan  # rows, totals, totals by key, back
+
+
+@pytest.mark.parametrize("width", CUTS)
+def test_dedup_horizon(spark, width):
     data = [(o, k, o) for o, k, _ in sample(3) if k]
 
     def step(last, row):
         return row[0], (row if last is None or row[0] - last > 4 else None)
 
     df = spark.createDataFrame(data, "o BIGINT, k STRING, t BIGINT")
-    got = dedup(df, ["k"], "o", "t", 4, threshold, width).collect()
+    got = dedup(df, ["k"], "o", "t", 4, width).collect()
     assert sorted((tuple(r) for r in got), key=str) == fold(data, None, step)
 
 
-@pytest.mark.parametrize("threshold,width", CUTS)
-def test_pages_hold_every_row_once(spark, threshold, width):
+@pytest.mark.parametrize("width", CUTS)
+def test_pages_hold_every_row_once(spark, width):
     data = [r for r in sample(9) if r[1] is not None]
     df = spark.createDataFrame(data, "o BIGINT, k STRING, v INT")
-    pages = collect_pages(df, "k", "o", ["v"], 7, threshold, width).collect()
+    pages = collect_pages(df, "k", "o", ["v"], 7, width).collect()
     assert all(len(p["items"]) <= 7 for p in pages)
     for key in {r[1] for r in data}:
         mine = sorted((p.page, [i.o for i in p["items"]]) for p in pages if p.k == key)
@@ -149,11 +165,11 @@ def test_pages_hold_every_row_once(spark, threshold, width):
         assert [p for p, _ in mine] == list(range(len(mine)))
 
 
-@pytest.mark.parametrize("threshold,width", CUTS)
-def test_next_number(spark, rows, threshold, width):
+@pytest.mark.parametrize("width", CUTS)
+def test_next_number(spark, rows, width):
     requests = spark.createDataFrame([(i, "g" if i % 2 else "h") for i in range(8)], "o BIGINT, g STRING")
     supply = spark.createDataFrame([("g", 246)], "g STRING, supply BIGINT")
-    got = next_number(requests, supply, "g", "o", threshold=threshold, width=width).select("o", "g", "edition", "marker")
+    got = next_number(requests, supply, "g", "o", width=width).select("o", "g", "edition", "marker")
     assert rows(got) == [(0, "h", 1, 0), (1, "g", 247, 0), (2, "h", 2, 0), (3, "g", 248, 1), (4, "h", 3, 0),
                          (5, "g", 249, 1), (6, "h", 4, 0), (7, "g", 250, 1)]
 

@@ -59,7 +59,7 @@ def test_count_stream(feed, tmp_path, rows):
 
 
 # Every key cut into chunks of 7 offsets, the whole state written every second batch.
-CUT = {"threshold": 0, "width": 7, "snapshot_every": 2}
+CUT = {"width": 7, "snapshot_every": 2}
 
 
 def test_monotone_and_changelog_logs(feed, spark, tmp_path, rows):

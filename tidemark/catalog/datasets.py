@@ -231,7 +231,7 @@ def _(t):
 @query("ds_latest_bonding_split", _balances(BONDED))
 def _(t):
     # Mints and accounts above 3 rows are cut into chunks, so the five hot mints are folded in pieces.
-    return ds.latest_bonding_token_account_balances(ledger_events(t), threshold=3, width=20_000)
+    return ds.latest_bonding_token_account_balances(ledger_events(t), width=20_000)
 
 
 @query("ds_latest_reserve_token_account_balances", _balances(RESERVED))

@@ -62,7 +62,7 @@ def _(t):
 @query("jn_as_of_split", as_of_sql("view", "signup", "ASOF JOIN"))
 def _(t):
     # The same join with every key above 20 rows treated as hot and cut into chunks of 500 offsets.
-    return as_of(t, "view", "signup", threshold=20, width=500)
+    return as_of(t, "view", "signup", width=500)
 
 
 @query("jn_latest", """

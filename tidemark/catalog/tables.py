@@ -41,7 +41,7 @@ def _(t):
 @query("ag_changelog_split", CHANGELOG_SQL)
 def _(t):
     # The same with keys above 3 rows cut into chunks of 1000 offsets.
-    return order_changelog(t, threshold=3, width=1000)
+    return order_changelog(t, width=1000)
 
 
 @query("ag_latest_by", """
@@ -108,7 +108,7 @@ def _(t):
 @query("wn_monotone_split", MONOTONE_SQL)
 def _(t):
     # The same with keys above 5 rows cut into chunks of 700 offsets.
-    kept = ag.monotone(t.orders, "o_custkey", "o_orderdate", "o_orderkey", threshold=5, width=700)
+    kept = ag.monotone(t.orders, "o_custkey", "o_orderdate", "o_orderkey", width=700)
     return kept.select("o_orderkey", "o_custkey")
 
 
@@ -170,4 +170,4 @@ def _(t):
 @query("wn_next_number_split", NUMBER_SQL)
 def _(t):
     # The same with keys above 5 rows cut into chunks of 500 offsets.
-    return numbered_purchases(t, threshold=5, width=500)
+    return numbered_purchases(t, width=500)

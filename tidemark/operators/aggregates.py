@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import floor_div
-from tidemark.operators.running import HOT_ROWS, Running, present, running
+from tidemark.operators.running import Running, present, running
 
 
 def _order(order: str | Sequence[str]) -> Column:
@@ -54,7 +54,7 @@ def _edge_rows(df: DataFrame, keys: Sequence[str], sort: list[Column]) -> DataFr
 
 def dedup(
     df: DataFrame, keys: Sequence[str], order: str, horizon_column: str | None = None, horizon: int | None = None,
-    threshold: int = HOT_ROWS, width: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """Drop rows whose key was seen before, ever or within ``horizon`` units of ``horizon_column``.
 
@@ -63,25 +63,25 @@ def dedup(
     if horizon is None:
         return first_per_key(df, keys, order)
     seen = running(df, keys, [order], [Running("__seen", "max", F.col(horizon_column))], inclusive=False,
-                   threshold=threshold, width=width)
+                   width=width)
     fresh = F.col("__seen").isNull() | (F.col(horizon_column) - F.col("__seen") > horizon)
     return seen.where(fresh).drop("__seen")
 
 
 def changelog(
     df: DataFrame, keys: Sequence[str], values: dict[str, tuple[str, str]], order: str,
-    threshold: int = HOT_ROWS, width: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """One row per input row, with the key's aggregates so far.
 
     ``values`` maps an output name to (``count``, ``max``, ``sum`` or ``last``, column).
     """
     folds = [Running(out, kind, F.col(column)) for out, (kind, column) in values.items()]
-    return running(df.where(present(keys)), keys, [order], folds, threshold=threshold, width=width)
+    return running(df.where(present(keys)), keys, [order], folds, width=width)
 
 
 def monotone(
-    df: DataFrame, key: str, time: str, order: str, threshold: int = HOT_ROWS, width: int | None = None
+    df: DataFrame, key: str, time: str, order: str, width: int | None = None
 ) -> DataFrame:
     """Drop rows older than the newest time already accepted for their key.
 
@@ -89,7 +89,7 @@ def monotone(
     earlier rows and no recursion is needed.  Equal times pass; a key without a time so far passes anything.
     """
     folds, finish = monotone_parts(key, time)
-    return finish(running(df, [key], [order], folds, inclusive=False, threshold=threshold, width=width))
+    return finish(running(df, [key], [order], folds, inclusive=False, width=width))
 
 
 def monotone_parts(key: str, time: str) -> tuple[list[Running], Callable[[DataFrame], DataFrame]]:
@@ -101,14 +101,14 @@ def monotone_parts(key: str, time: str) -> tuple[list[Running], Callable[[DataFr
 
 def collect_pages(
     df: DataFrame, group: str, order: str, columns: Sequence[str], page_size: int = 1000,
-    threshold: int = HOT_ROWS, width: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """A group's rows as ordered lists of at most ``page_size`` entries: (group, page, items).
 
     Paging bounds every list; a group of any size becomes more pages, not a longer list.
     """
     numbered = running(df.where(F.col(group).isNotNull()), [group], [order], [Running("__n", "count", F.lit(1))],
-                       threshold=threshold, width=width)
+                       width=width)
     paged = numbered.withColumn("page", floor_div(F.col("__n") - 1, page_size))
     items = F.sort_array(F.collect_list(F.struct(order, *[c for c in columns if c != order])))
     return paged.groupBy(group, "page").agg(items.alias("items"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import epoch_seconds, floor_div
 from tidemark.operators.aggregates import latest_by, latest_rows
 from tidemark.operators.filters import MAX_RECORD_BYTES, max_bytes
-from tidemark.operators.running import HOT_ROWS, Running, running
+from tidemark.operators.running import Running, running
 
 
 def interval_join(
@@ -49,7 +49,7 @@ def _span(df: DataFrame, time: str, seconds: int) -> Column:
 
 def lookup_join(
     events: DataFrame, updates: DataFrame, on: tuple[str, str], order: tuple[str, str], values: Sequence[str],
-    mode: str = "as_of", how: str = "inner", threshold: int = HOT_ROWS, width: int | None = None,
+    mode: str = "as_of", how: str = "inner", width: int | None = None,
 ) -> DataFrame:
     """Join a stream of events with a table given by its updates; the table keeps the latest non-NULL values.
 
@@ -63,7 +63,7 @@ def lookup_join(
     if mode != "as_of":
         raise ValueError(mode)
     both, folds, finish = as_of_parts(events, updates, on, order, values, how)
-    return finish(running(both, [on[0]], AS_OF_ORDER, folds, threshold=threshold, width=width))
+    return finish(running(both, [on[0]], AS_OF_ORDER, folds, width=width))
 
 
 AS_OF_ORDER = ["__order", "__side"]

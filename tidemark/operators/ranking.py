@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import floor_div
 from tidemark.operators.aggregates import latest_rows
-from tidemark.operators.running import HOT_ROWS, Running, running, running_by_chunk
+from tidemark.operators.running import Running, running, running_by_chunk
 from tidemark.session import cut_lineage
 
 MARKER_BUCKET = 248
@@ -56,11 +56,11 @@ def rank_all(state: DataFrame, group: str, member: str, score: str, partitions:
 
 def next_number(
     requests: DataFrame, supply: DataFrame, group: str, order: str, supply_column: str = "supply",
-    threshold: int = HOT_ROWS, width: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """Number requests per group in order, continuing after the group's current supply (none counts as 0)."""
     counted = running(requests, [group], [order], [Running("__place", "count", F.lit(1))],
-                      threshold=threshold, width=width)
+                      width=width)
     current = supply.select(group, F.col(supply_column).cast("bigint").alias("__supply"))
     edition = F.coalesce("__supply", F.lit(0)) + F.col("__place")
     numbered = counted.join(current, group, "left").withColumn("edition", edition)

@@ -1,13 +1,9 @@
 """Running values per key ("as of this row"), safe for keys that hold a large share of all rows.
 
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task.  Here a key with many rows is cut
-into chunks of its order column; each chunk is folded on its own, the per-chunk totals (one small row per
-chunk) are folded over the chunks, and the two are combined.  The result equals the plain window exactly.
-
-Which keys are cut is decided inside the plan by counting rows per key (combined before the shuffle).
-Only keys above ``threshold`` rows are listed, and at most ``HOT_LIMIT`` of them, heaviest first, so the
-broadcast list has a fixed size bound.  A key left off the list is still folded correctly, in one group of
-at most ``max(threshold, rows / HOT_LIMIT)`` rows.
+A plain ``Window.partitionBy(key)`` sends every row of a key to one task.  Here every key is cut into chunks of its order
+column; each chunk is folded on its own, the per-chunk totals (one small row per chunk) are folded over the chunks, and the
+two are combined.  The result equals the plain window, whatever the chunk width: NULL keys form one group, NULL orders come
+first, in a chunk of their own.  Only sums of floating values differ, in the last digits: cast them to DECIMAL.
 """
 
 from __future__ import annotations
@@ -21,13 +17,11 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import epoch_seconds, floor_div
 
-HOT_ROWS = 1_000_000
-HOT_LIMIT = 65_536
 # Width of a chunk in order units: offsets for integer orders, seconds for times.
 OFFSETS_PER_CHUNK = 1_000_000
 SECONDS_PER_CHUNK = 3_600
 
-_CHUNK = "__chunk"
+_CHUNK, _CELL = "__chunk", "__cell"
 
 
 @dataclass(frozen=True)
@@ -65,17 +59,12 @@ class Running:
 
 def totals_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Running]) -> DataFrame:
     """The folds over all rows of each key, as columns ``__all_<out>``; NULL keys form no group."""
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    return df.where(present(keys)).groupBy(*keys).agg(
-        *[FOLDS[f.kind].total(f.value, rank).alias(f"__all_{f.out}") for f in folds]
-    )
+    return _totals(df.where(present(keys)), keys, order, folds)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = HOT_ROWS, limit: int = HOT_LIMIT) -> DataFrame:
-    """The heaviest keys with more than ``threshold`` rows, at most ``limit`` of them, without NULL keys."""
-    counts = df.where(present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > threshold)
-    heaviest = counts.orderBy(F.col("__rows").desc(), *keys).limit(limit)
-    return heaviest.select(*keys, F.lit(True).alias("__hot"))
+def _totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], folds: Sequence[Running]) -> DataFrame:
+    rank = F.struct(*order)  # a struct with a NULL order is the least one
+    return df.groupBy(*keys).agg(*[FOLDS[f.kind].total(f.value, rank).alias(f"__all_{f.out}") for f in folds])
 
 
 def order_chunk(df: DataFrame, order: str, width: int | None = None) -> Column:
@@ -91,22 +80,15 @@ def running(
     order: Sequence[str],
     folds: Sequence[Running],
     inclusive: bool = True,
-    threshold: int = HOT_ROWS,
     width: int | None = None,
 ) -> DataFrame:
     """Add running values over ``keys`` in ``order``; ``inclusive=False`` leaves the row itself out.
 
     ``order[0]`` must be an integer offset or a time, and the whole list must order a key's rows totally.
-    Rows with a NULL key are folded per chunk only (a NULL key equals nothing, so no history is carried).
-    The input is read three times, twice for a few columns only; save it first when it is costly to make.
+    The rows are shuffled once; a second, narrow read of the input gives the totals: save it first when it is costly to make.
     """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(df, keys, threshold))
-    place = order_chunk(df, order[0], width)
-    split = F.col("__hot").isNotNull() | ~present(keys)
-    chunked = df.join(hot, keys, "left").select(*df.columns, F.when(split, place).alias(_CHUNK))
-    cut = df.join(hot, keys, "inner").select(*df.columns, place.alias(_CHUNK))
-    return running_by_chunk(chunked, keys, _CHUNK, order, folds, inclusive, cut).drop(_CHUNK)
+    cut = df.withColumn(_CHUNK, order_chunk(df, order[0], width))
+    return running_by_chunk(cut, keys, _CHUNK, order, folds, inclusive).drop(_CHUNK)
 
 
 def present(keys: Sequence[str]) -> Column:
@@ -119,25 +101,24 @@ def present(keys: Sequence[str]) -> Column:
 
 def running_by_chunk(
     df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[Column | str], folds: Sequence[Running],
-    inclusive: bool = True, cut: DataFrame | None = None,
+    inclusive: bool = True,
 ) -> DataFrame:
-    """The two-level fold itself, for rows that already carry a chunk in key order (NULL = key not cut).
+    """The two-level fold itself, for rows that already carry a chunk in key order.
 
-    ``cut`` holds the rows of the keys that are cut, if not all of them.  The rows are shuffled once, by key and
-    chunk; the join with the carried values reuses that partitioning.
+    Key and chunk are one struct column, whose equality holds for NULL fields too.  The rows are shuffled once, by that
+    column; the join with the carried values reuses the partitioning.
     """
-    cell = [*keys, chunk]
     frame_end = Window.currentRow if inclusive else -1
-    inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
-    here = df.select("*", *[FOLDS[f.kind].inside(f.value).over(inside).alias(f"__here_{f.out}") for f in folds])
+    inside = Window.partitionBy(_CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
+    rows = df.withColumn(_CELL, F.struct(F.struct(*keys).alias("of"), F.col(chunk).alias("chunk")))
+    here = rows.select("*", *[FOLDS[f.kind].inside(f.value).over(inside).alias(f"__here_{f.out}") for f in folds])
 
-    totals = totals_by(df if cut is None else cut, cell, order, folds)
-    earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    totals = _totals(rows, [_CELL], order, folds)
+    earlier = Window.partitionBy(f"{_CELL}.of").orderBy(f"{_CELL}.chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        *cell, *[FOLDS[f.kind].over_totals(F.col(f"__all_{f.out}")).over(earlier).alias(f"__before_{f.out}")
-                 for f in folds]
+        _CELL, *[FOLDS[f.kind].over_totals(F.col(f"__all_{f.out}")).over(earlier).alias(f"__before_{f.out}") for f in folds]
     )
-    both = here.join(carried, cell, "left")
+    both = here.join(carried, _CELL, "left")
     return both.select(
         *df.columns,
         *[FOLDS[f.kind].combine(F.col(f"__before_{f.out}"), F.col(f"__here_{f.out}")).alias(f.out) for f in folds],

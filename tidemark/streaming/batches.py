@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.aggregates import latest_rows, monotone_parts
 from tidemark.operators.joins import AS_OF_ORDER, as_of_parts
-from tidemark.operators.running import FOLDS, HOT_ROWS, Running, present, running, totals_by
+from tidemark.operators.running import FOLDS, Running, present, running, totals_by
 from tidemark.streaming.sinks import triggered
 
 SNAPSHOT_EVERY = 50
@@ -28,7 +28,7 @@ SNAPSHOT_EVERY = 50
 def running_log(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], folds: Sequence[Running],
     finish: Callable[[DataFrame], DataFrame] = lambda rows: rows, inclusive: bool = True, once: bool = True,
-    every: str = "1 minute", threshold: int = HOT_ROWS, width: int | None = None, snapshot_every: int = SNAPSHOT_EVERY,
+    every: str = "1 minute", width: int | None = None, snapshot_every: int = SNAPSHOT_EVERY,
 ) -> StreamingQuery:
     """Write every row with its running values over everything so far, after ``finish``; read it by ``read_rows``."""
     keys = list(keys)
@@ -38,7 +38,7 @@ def running_log(
         # Read several times below; a lost executor's part is read again from the source.
         batch.persist()
         try:
-            rows = running(batch, keys, order, folds, inclusive, threshold, width)
+            rows = running(batch, keys, order, folds, inclusive, width)
             totals = totals_by(batch, keys, order, folds)
             if batch_id > 0:
                 state = _state(spark, path, keys, batch_id, snapshot_every)
