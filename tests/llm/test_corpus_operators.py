@@ -216,6 +216,23 @@ def test_decontamination(spark, nothing):
     assert decontam.contamination_report(docs, benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def found_items(spark, benchmark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(benchmark)), "item_id int, text string")
+    return [tuple(r["items"]) for r in decontam.contamination_report(docs, items).orderBy("doc_id").collect()]
+
+
+def test_decontamination_as_written(spark):
+    """Copies of items of numbers or names, short ones, and questions that follow anything."""
+    sums = "What is 3 + 5 * 12 - 7 / 2"
+    names = "Anna Bert Carl Dora Emil Fritz Gustav Hanna Ida Jakob Karl Lena Maria Nora Otto"
+    asked = "What is the distance between the towns of Ulm and Bonn"
+    benchmark = [sums, names, asked, "!?"]
+    texts = [f"before, {sums} after", f"list: {names.upper()}", f'and then "{asked}', f"as asked, {asked.replace('Ulm', 'Rome')} again",
+             "What is 3 + 5 * 12 - 7 / 4", names.replace("Gustav", "Georg"), "!?", None]
+    assert found_items(spark, benchmark, texts) == [(0,), (1,), (2,), (2,), (), (), (), ()]
+
+
 def test_decontamination_without_filter(spark, monkeypatch, docs):
     benchmark = spark.createDataFrame([(1, (docs.filter("doc_id = 900006").first().text or "")[:400]), (2, ODD[0][1])], "item_id int, text string")
     small = counted(decontam.contamination_report(docs, benchmark).withColumn("items", F.concat_ws(",", "items")))

@@ -5,6 +5,10 @@ Texts are read as tokens: runs of letters, and numbers.  Numbers, names (capital
 those of the benchmark.  Windows that match along one alignment form runs; a run long enough is a hit if its slots are
 consistent: equal benchmark values stand for equal values in the document and different ones for different ones, so a
 question asked again with other numbers or names is found, and a text of the same shape with unrelated fillings is not.
+
+Beside the templates, RUN tokens in a row that are equal as written (lower-cased), or a whole shorter item of any length, are
+a hit whatever they hold and whatever stands around them.  A capital that opens a sentence may be a name or not, so both
+readings are tried, in texts and items alike.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import BASE, blocks, byte_codes, mixed, rows_of, run_hashes, save_table, text_buffers
+from tidemark.llm.common import BASE, MIX_B, blocks, byte_codes, mixed, rows_of, run_hashes, save_table, text_buffers
 
 WINDOW = 8
 LITERALS = 5  # at least so many tokens of a window are words, not placeholders
@@ -48,11 +52,12 @@ def _hash(words: list[str], table: np.ndarray) -> np.ndarray:
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray, tables=None):
-    """Of a block of documents: canonical codes, hashes of the tokens as written (lower case), is-placeholder, tokens per document."""
+    """Of a block of documents: canonical codes, hashes of the tokens as written (lower case), is-placeholder, is a capital that
+    opens a sentence, tokens per document."""
     letters, digits, codes = tables or _classes()
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(len(offsets) - 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool), np.zeros(len(offsets) - 1, np.int64)
     kind = letters[data].astype(np.int8)
     is_digit = digits[data]
     inner = np.zeros(n, bool)  # a point or comma between digits belongs to the number
@@ -78,7 +83,8 @@ def tokens(data: np.ndarray, offsets: np.ndarray, tables=None):
     document_first = (np.cumsum(per_doc) - per_doc)[per_doc > 0]
     opens[document_first] = True
     head = data[start]
-    name = (of == 1) & (head >= 65) & (head <= 90) & ~opens
+    capital = (of == 1) & (head >= 65) & (head <= 90)
+    name = capital & ~opens
     number = of == 2
     after_number = np.zeros(len(start), bool)
     after_number[1:] = number[:-1] & (start[1:] - end[:-1] <= 1)
@@ -91,30 +97,70 @@ def tokens(data: np.ndarray, offsets: np.ndarray, tables=None):
     canonical[name] = NAME_CODE
     canonical[number] = NUMBER_CODE
     canonical[unit] = UNIT_CODE
-    return canonical, raw, name | number | unit, per_doc
+    return canonical, raw, name | number | unit, capital & opens & ~unit, per_doc
+
+
+#: Sets of places of a window that are read as names though their capitals may only open a sentence.
+READINGS = [[k for k in range(WINDOW) if m >> k & 1] for m in range(1, 1 << WINDOW) if m.bit_count() <= WINDOW - LITERALS]
+
 
+def template_windows(canonical, slot, opening, per_doc):
+    """(hash, document, place, first token, places read as names) of all windows with enough literals.
 
-def template_windows(data: np.ndarray, offsets: np.ndarray, tables=None):
-    """(hash, document, place, first token) of all windows with enough literals, the tokens' hashes, which are placeholders."""
-    canonical, raw, slot, per_doc = tokens(data, offsets, tables)
+    The places are bits; a window comes once per reading of the capitals that open a sentence.
+    """
     n = len(canonical) - WINDOW + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, none, raw, slot, per_doc
+        return np.zeros(0, np.uint64), none, none, none, none
+    doc = np.repeat(np.arange(len(per_doc), dtype=np.int64), per_doc)
+    filled = np.concatenate([[0], np.cumsum(slot)])
+    left = WINDOW - LITERALS - (filled[WINDOW:] - filled[:n])
+    good = (doc[:n] == doc[WINDOW - 1 :]) & (left >= 0)
+    at = np.flatnonzero(good)
+    opens = np.zeros(n, np.int64)
     with np.errstate(over="ignore"):
         code = np.zeros(n, np.uint64)
         for k in range(WINDOW):
             code = code * BASE + canonical[k : k + n]
-    doc = np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc)
-    filled = np.concatenate([[0], np.cumsum(slot)])
-    good = (doc[:n] == doc[WINDOW - 1 :]) & (filled[WINDOW:] - filled[:n] <= WINDOW - LITERALS)
-    at = np.flatnonzero(good)
-    first = np.cumsum(per_doc) - per_doc
-    return mixed(code[at]), doc[at], at - first[doc[at]], at, raw, slot, per_doc
+            opens += opening[k : k + n].astype(np.int64) << k
+        found = [(code[at], at, np.zeros(len(at), np.int64))]
+        some = np.flatnonzero(good & (opens > 0) & (left > 0))
+        weights = [np.uint64(pow(int(BASE), WINDOW - 1 - k, 1 << 64)) for k in range(WINDOW)]
+        for places in READINGS if len(some) else ():
+            bits = sum(1 << k for k in places)
+            here = some[((opens[some] & bits) == bits) & (left[some] >= len(places))]
+            if len(here):
+                found.append((code[here] + sum((NAME_CODE - canonical[here + k]) * weights[k] for k in places), here,
+                              np.full(len(here), bits, np.int64)))
+    code, at, read = (np.concatenate(x) for x in zip(*found, strict=True))
+    return mixed(code), doc[at], at - (np.cumsum(per_doc) - per_doc)[doc[at]], at, read
+
 
+def written_windows(raw, per_doc, lengths):
+    """(hash, document) of the runs of as many tokens as written as ``lengths`` says; None: RUN, or all of a shorter text."""
+    doc = np.repeat(np.arange(len(per_doc), dtype=np.int64), per_doc)
+    hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    code = np.zeros(len(raw), np.uint64)
+    for k in range(min(RUN, len(raw))):
+        with np.errstate(over="ignore"):
+            n = len(raw) - k
+            code = code[:n] * BASE + raw[k:]
+            if lengths is not None and k + 1 not in lengths:
+                continue
+            good = doc[:n] == doc[k:]
+            if lengths is None and k + 1 < RUN:
+                good &= per_doc[doc[:n]] == k + 1
+            hashes.append(mixed(code[good] + np.uint64(k + 1) * MIX_B))
+        docs.append(doc[:n][good])
+    return np.concatenate(hashes), np.concatenate(docs)
 
-def _windows(wanted):
-    """Rows (key, h, pos, slots, n_tokens): slots are the written tokens of the window's placeholders, 8 bytes each."""
+
+def _windows(wanted, lengths):
+    """Rows (key, h, kind, pos, slots, n_tokens): slots are the written tokens of the window's placeholders, 8 bytes each.
+
+    Kinds: WRITTEN, once per document (no place, no slots); AS_IS; OPENED, where a capital that opens a sentence is a name.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -125,61 +171,86 @@ def _windows(wanted):
         if filter_ is not None:
             bits = np.zeros(1 << 22, bool)
             bits[(filter_ & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+
+        def kept(h):
+            if filter_ is None:
+                return np.arange(len(h))
+            near = np.flatnonzero(bits[(h & np.uint64((1 << 22) - 1)).astype(np.int64)])
+            return near[np.isin(h[near], filter_)]
+
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             for i, j in blocks(np.diff(offsets)):
-                h, doc, pos, at, raw, slot, per_doc = template_windows(
-                    data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], tables)
-                if filter_ is not None:
-                    near = np.flatnonzero(bits[(h & np.uint64((1 << 22) - 1)).astype(np.int64)])
-                    near = near[np.isin(h[near], filter_)]
-                    h, doc, pos, at = h[near], doc[near], pos[near], at[near]
-                if not len(h):
+                canonical, raw, slot, opening, per_doc = tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], tables)
+                h, doc, pos, at, read = template_windows(canonical, slot, opening, per_doc)
+                near = kept(h)
+                h, doc, pos, at, read = h[near], doc[near], pos[near], at[near], read[near]
+                slots = [raw[a : a + WINDOW][slot[a : a + WINDOW] | (r >> np.arange(WINDOW) & 1).astype(bool)].tobytes()
+                         for a, r in zip(at.tolist(), read.tolist(), strict=True)]
+                g, of = written_windows(raw, per_doc, lengths)
+                near = kept(g)
+                g, of = g[near], of[near]
+                order = np.lexsort((g, of))
+                g, of = g[order], of[order]
+                new = np.ones(len(g), bool)
+                new[1:] = (g[1:] != g[:-1]) | (of[1:] != of[:-1])
+                g, of = g[new], of[new]
+                if not len(h) + len(g):
                     continue
-                slots = [raw[a : a + WINDOW][slot[a : a + WINDOW]].tobytes() for a in at.tolist()]
+                doc, kind = np.concatenate([doc, of]), np.concatenate([np.where(read > 0, OPENED, AS_IS), np.full(len(g), WRITTEN)])
                 yield pa.record_batch(
-                    [pa.array(keys[i:j][doc], pa.int64()), pa.array(h.view(np.int64)), pa.array(pos.astype(np.int64)),
-                     pa.array(slots, pa.binary()), pa.array(per_doc[doc].astype(np.int64))],
-                    names=["key", "h", "pos", "slots", "n_tokens"])
+                    [pa.array(keys[i:j][doc], pa.int64()), pa.array(np.concatenate([h, g]).view(np.int64)), pa.array(kind.astype(np.int32)),
+                     pa.array(np.concatenate([pos, np.zeros(len(g), np.int64)]).astype(np.int64)),
+                     pa.array(slots + [b""] * len(g), pa.binary()), pa.array(per_doc[doc].astype(np.int64))],
+                    names=["key", "h", "kind", "pos", "slots", "n_tokens"])
 
     return run
 
 
-SCHEMA = "key long, h long, pos long, slots binary, n_tokens long"
+WRITTEN, AS_IS, OPENED = -1, 0, 1
+SCHEMA = "key long, h long, kind int, pos long, slots binary, n_tokens long"
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(rid, item_id): which rows of ``docs`` (their place, ``monotonically_increasing_id``) hold a passage of which item.
 
-    ``benchmark`` has ``item_id`` and ``text``; items of fewer than WINDOW tokens, and NULL texts, match nothing.  Each pair
-    comes once however often the passage is repeated.
+    ``benchmark`` has ``item_id`` and ``text``; items without tokens, and NULL texts, match nothing, and items of fewer than
+    WINDOW tokens only as they are written.  Each pair comes once however often the passage is repeated.
     """
     spark = docs.sparkSession
     rows = rows_of(docs, F.monotonically_increasing_id().alias("key")).select("key", "text")
     items = benchmark.filter("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = save_table(items.withColumn("key", F.monotonically_increasing_id()), "benchmark")
-    templates = save_table(items.select("key", "text").mapInArrow(_windows(None), SCHEMA), "templates")
+    templates = save_table(items.select("key", "text").mapInArrow(_windows(None, None), SCHEMA), "templates")
+    lengths = {min(r[0], RUN) for r in templates.filter(F.col("kind") == WRITTEN).select("n_tokens").distinct().collect()}
     wanted = None
     if templates.count() <= FILTER_WINDOWS:
         found = [r[0] for r in templates.select("h").distinct().collect()]
         wanted = spark.sparkContext.broadcast(np.sort(np.array(found, np.int64).view(np.uint64)))
-    theirs = templates.select("h", F.col("key").alias("item"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
+    theirs = templates.select("h", F.col("kind").alias("item_kind"), F.col("key").alias("item"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
                               F.least(F.col("n_tokens"), F.lit(RUN)).alias("need"))
-    ours = rows.mapInArrow(_windows(wanted), SCHEMA).select(F.col("key").alias("rid"), "h", "pos", "slots")
-    hits = ours.join(theirs, "h").withColumn("shift", F.col("pos") - F.col("item_pos"))
-    aligned = Window.partitionBy("rid", "item", "shift").orderBy("pos")
-    runs = hits.withColumn("run", F.col("pos") - F.row_number().over(aligned))
+    ours = rows.mapInArrow(_windows(wanted, lengths), SCHEMA).select(F.col("key").alias("rid"), "h", "kind", "pos", "slots")
+    # runs are judged without the second readings too: what these add to a run must not make it inconsistent
+    least, most = F.least("kind", "item_kind"), F.greatest("kind", "item_kind")
+    readings = F.when(most == AS_IS, F.array(F.lit(AS_IS), F.lit(OPENED))).otherwise(F.array(most))
+    hits = ours.join(theirs, "h").filter((least > WRITTEN) | (most == WRITTEN)).withColumn("reading", F.explode(readings))
+    hits = hits.withColumn("shift", F.col("pos") - F.col("item_pos"))
+    # of one place's readings that match, the one with the fewest names
+    aligned = Window.partitionBy("rid", "item", "reading", "shift").orderBy("pos", F.octet_length("slots"), "slots")
+    hits = hits.withColumn("before", F.lag("pos").over(aligned)).filter("before IS NULL OR before <> pos")
+    runs = hits.withColumn("run", F.when(F.col("reading") == WRITTEN, 0).otherwise(F.col("pos") - F.row_number().over(aligned)))
     cut = lambda c: F.when(F.octet_length(c) > 0, F.transform(
         F.sequence(F.lit(0), (F.octet_length(c) / 8 - 1).cast("int")), lambda k: F.hex(F.col(c).substr(k * 8 + 1, F.lit(8)))))
     empty = F.array().cast("array<string>")
     pairs = F.arrays_zip(F.coalesce(cut("item_slots"), empty).alias("b"), F.coalesce(cut("slots"), empty).alias("d"))
-    by_run = runs.select("rid", "item", "shift", "run", "need", pairs.alias("pairs")).groupBy("rid", "item", "shift", "run", "need")
+    by_run = runs.select("rid", "item", "reading", "shift", "run", "need", pairs.alias("pairs")).groupBy(
+        "rid", "item", "reading", "shift", "run", "need")
     # a run is at most as long as its item, so these lists are short
     whole = by_run.agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     sides = [F.size(F.array_distinct(F.col(f"pairs.{side}"))) for side in ("b", "d")]
-    good = whole.filter((F.col("n") >= F.col("need") - (WINDOW - 1))
-                        & (sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs")))
+    good = whole.filter((F.col("reading") == WRITTEN) | ((F.col("n") >= F.col("need") - (WINDOW - 1))
+                        & (sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs"))))
     return good.select("rid", "item").distinct().join(
         items.select(F.col("key").alias("item"), "item_id"), "item").select("rid", "item_id").distinct()
 
