@@ -233,6 +233,13 @@ def test_decontamination_as_written(spark):
     assert found_items(spark, benchmark, texts) == [(0,), (1,), (2,), (2,), (), (), (), ()]
 
 
+def test_decontamination_of_an_altered_copy(spark):
+    """One altered slot does not acquit the rest of a copied passage."""
+    passage = " ".join(f"and then word{'abcdefghij'[i % 10]} went along to the river with {'Boston' if i in (1, 8) else 'others'}" for i in range(10))
+    altered = passage[: passage.rindex("Boston")] + "Denver" + passage[passage.rindex("Boston") + 6 :]
+    assert found_items(spark, [passage], [passage, altered, "so " + altered.lower()]) == [(0,), (0,), (0,)]
+
+
 def test_decontamination_without_filter(spark, monkeypatch, docs):
     benchmark = spark.createDataFrame([(1, (docs.filter("doc_id = 900006").first().text or "")[:400]), (2, ODD[0][1])], "item_id int, text string")
     small = counted(decontam.contamination_report(docs, benchmark).withColumn("items", F.concat_ws(",", "items")))
