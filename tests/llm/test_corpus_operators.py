@@ -371,6 +371,15 @@ def test_template_text_goes(spark):
     assert {r.text for r in got} == {f"Words of our own, {i}" for i in range(10)}
 
 
+def test_standing_blocks_of_an_article_stay(spark):
+    page = "<body><div><i>The same line</i></div>%s<u>All of these pages end like this</u></body>"
+    own = "<article><h2>Summary</h2><p>By the <b>editors</b> of this page</p><p>Words of our own, %d</p><h2>Sources</h2></article>"
+    pages = [(i, "http://h.example/", page % (own % i)) for i in range(10)]
+    pages += [(i, "http://g.example/", page % f"<main><h2>News</h2></main><p>Words beside it, {i}</p>") for i in range(10, 20)]
+    got = {r.page_id: r.text for r in template.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Summary\n\nBy the editors of this page\n\nWords of our own, {i}\n\nSources" if i < 10 else f"News\n\nWords beside it, {i}" for i in range(20)}
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(2)
     clean = ["".join(rng.choice(["th", "er", "on", "an", "re", "he", "in", "ed"]) for _ in range(rng.randrange(1, 4))) for _ in range(300)]

@@ -2,9 +2,11 @@
 
 A page is a sequence of tokens: start tags and text segments, each told apart by its path of open elements.  Over the
 pages of one host, tokens with the same occurrence vector (how often on which page) form an equivalence class.  Classes
-that are large and frequent, hold a tag, and stand in the same order on the page are valid; nested in each other they are
-the host's template.  Text of the template is dropped; what remains are its slots, and of these the slots of menus,
-headers, footers, sidebars, notices, adverts, forms, scripts and comments, known by their elements, are left out.
+that are large and frequent, hold a tag, and stand in the same order on the page are valid; together they are the host's
+template (whether they nest in each other is not looked at).  Text of the template is dropped, but for blocks of an article
+that are template text throughout, such as headings and standing sentences, which are the article's own; what remains are
+the template's slots, and of these the slots of menus, headers, footers, sidebars, notices, adverts, forms, scripts and
+comments, known by their elements, are left out.
 
 Vectors are never built: the exclusive-or of a hash of (page, count) over the pages is a fingerprint of the vector, which
 Spark combines before the shuffle, so a host with a third of all pages is not one task's work.
@@ -181,7 +183,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str, template: list[list[int]] | None) -> str:
-    """The blocks of a page's slots, without template text; see the module's head."""
+    """The blocks of a page's slots, without template text outside articles and beside other text; see the module's head."""
     tokens = segments(parse(page))
     fixed: set[int] = set()
     if template:
@@ -197,13 +199,17 @@ def main_text(page: str, template: list[list[int]] | None) -> str:
     blocks: dict[int, list] = {}
     for s in tokens:
         if not s[0] and not s[3]:
-            own = blocks.setdefault(s[2], ["", False])
+            own = blocks.setdefault(s[2], ["", "", False])
             own[0] += " " if s[1] in fixed else s[5]
-            own[1] |= s[4]
-    texts = [(" ".join(text.split()), inside) for text, inside in blocks.values()]
-    if any(inside and text for text, inside in texts):
+            own[1] += s[5]
+            own[2] |= s[4]
+    texts = []  # (text, in an article, has text that is not the template's)
+    for varied, whole, inside in blocks.values():
+        text = " ".join(varied.split())
+        texts.append((text or " ".join(whole.split()) if inside else text, inside, bool(text)))
+    if any(inside and varied for _, inside, varied in texts):
         texts = [x for x in texts if x[1]]
-    return "\n\n".join(text for text, _ in texts if text)
+    return "\n\n".join(text for text, _, _ in texts if text)
 
 
 def _extracted(batches):
