@@ -397,6 +397,20 @@ def test_toxicity(spark, nothing):
     assert toxicity.score_toxicity(docs, labels.limit(0)).filter("predicted = 1").count() == 0
 
 
+def test_spelled_out_insults(spark):
+    rng = random.Random(4)
+    clean = ["".join(rng.choice(["th", "er", "on", "an", "re", "he", "in", "ed"]) for _ in range(rng.randrange(1, 4))) for _ in range(300)]
+    text = lambda bad: " ".join(rng.choice(clean) for _ in range(30)) + (f" {rng.choice(['stupid', 'moron', 'loser'])}." if bad else ".")
+    train = spark.createDataFrame([(i, text(i % 5 == 0)) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    model = toxicity.train(train, labels)
+    bad = ["thereon s t u p i d thereon", "thereon m o r o n", "thereon st up id thereon", "thereon s---t---u---p---i---d", "thereon l * o * s * e * r"]
+    good = ["thereon h e r e i n", "he in on an re", "thereon", "a", "thereon s t", ""]
+    docs = spark.createDataFrame(list(enumerate([*bad, *good])), "doc_id long, text string")
+    got = [r.predicted for r in toxicity.score_toxicity(docs, labels, model).orderBy("doc_id").collect()]
+    assert got == [1] * len(bad) + [0] * len(good)
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 

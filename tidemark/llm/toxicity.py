@@ -24,6 +24,7 @@ LABELLED_DOCS = 20_000
 #: At most so many words of toxic and of other sentences take part in the fit, and so many landmarks.
 TOXIC_WORDS, OTHER_WORDS, LANDMARKS = 600, 6_000, 300
 THRESHOLD = 0.3
+SPELLED = 3  # so many words of one or two letters in a row may spell out a word
 
 
 def letter_codes() -> np.ndarray:
@@ -125,9 +126,44 @@ def text_scores(data: np.ndarray, offsets: np.ndarray, model: dict, codes: np.nd
     value = np.where(weight > 0, total / np.sqrt(np.maximum(weight, 1e-12)), 0.0) + model["bias"]
     filled = np.flatnonzero(per_doc > 0)
     out[filled] = np.maximum.reduceat(value, (np.cumsum(per_doc) - per_doc)[filled])
+    for doc, value in spelled_values(c, start, end, np.repeat(np.arange(len(per_doc)), per_doc), model):
+        np.maximum.at(out, doc, value)
     return out
 
 
+def spelled_values(c: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray, model: dict):
+    """(documents, values) of what is spelled out: the letters alone of SPELLED or more words in a row that have one letter
+    each at most (then two), and of words with so many other characters that PATTERNS may not reach over them."""
+    before = np.concatenate([[0], np.cumsum(c > 0)])
+    letters = before[end] - before[start]
+    for most in (1, 2, None):
+        if most:
+            short = letters <= most
+            begin = short.copy()
+            begin[1:] &= ~short[:-1] | (doc[1:] != doc[:-1])
+            group = np.cumsum(begin)
+            chosen = short & (np.bincount(group[short], minlength=len(start) + 1)[group] >= SPELLED)
+        else:
+            group, chosen = np.arange(len(start)), end - start - letters >= 3
+        words = np.flatnonzero(chosen & (letters > 0))
+        if not len(words):
+            continue
+        of = np.repeat(words, (end - start)[words])
+        at = start[of] + np.arange(len(of)) - np.repeat(np.cumsum((end - start)[words]) - (end - start)[words], (end - start)[words])
+        of, at = of[c[at] > 0], at[c[at] > 0]
+        unit, n = group[of], len(of)
+        x, same = np.concatenate([c[at], np.zeros(4, np.int32)]), np.concatenate([unit, np.full(4, -1)])
+        above, norm = np.zeros(n, np.float32), np.zeros(n, np.float32)
+        for j, k in PATTERNS:
+            i = np.flatnonzero(same[:n] == same[k : n + k])
+            above[i] += model["table"][(x[i] * LETTERS + x[i + j]) * LETTERS + x[i + k]] * np.float32(DECAY ** (k + 1))
+            norm[i] += np.float32(DECAY ** (2 * (k + 1)))
+        first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+        total, weight = np.add.reduceat(above, first), np.add.reduceat(norm, first)
+        some = weight > 0
+        yield doc[of[first[some]]], total[some] / np.sqrt(weight[some]) + model["bias"]
+
+
 def _values(model):
     """(..., value): the highest word of every text; other columns pass."""
 
