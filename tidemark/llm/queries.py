@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import brown, decontam, minhash, pii, quality, suffix, template, tokens, toxicity
+from tidemark.llm import brown, decontam, minhash, phrases, pii, quality, suffix, template, tokens, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,9 +53,13 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, folder, "documents"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_suffix_dedup, op4_quality_rules, op5_lm_scoring,
-                            op6_minhash, op7_token_files, op8_packing, op9_decontamination, op10_pii)}
+                            op6_minhash, op7_token_files, op8_packing, op9_decontamination, op10_pii, op11_phrases)}
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 #: The measures and rules of ``quality`` written out for DuckDB; windows are compared as text, not by hash.
@@ -83,4 +87,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 15.0 AND n_symbols / n_words <= 0.30
        AND n_dup_lines / n_lines <= 0.50 AND n_repeat_words / n_words <= 0.20 AND n_alpha / n_words >= 0.60
        AND n_upper / n_words <= 0.50 AND n_distinct / n_words >= 0.05 AND 100.0 * (n_stop + 0.25) / n_words >= 0.5 AS kept
-FROM b"""}
+FROM b""", "op11_phrases": r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+words AS (SELECT piece, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM pieces),
+runs AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)),
+f AS (
+  SELECT lang, 1 AS k, [w1] AS w, count(*)::HUGEINT AS f FROM runs GROUP BY lang, w1 HAVING count(*) >= 10
+  UNION ALL SELECT lang, 2, [w1, w2], count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10
+  UNION ALL SELECT lang, 3, [w1, w2, w3], count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+splits AS (SELECT lang, k, w, f AS a, cut, w[1:cut] AS head, w[cut + 1:] AS tail FROM f, (VALUES (1), (2)) AS o(cut) WHERE cut < k),
+cuts AS (
+  SELECT c.lang, c.k, c.w, a, l.f AS l, r.f AS r, cut, 1000000 * a * a // (l.f * r.f) AS score
+  FROM splits AS c JOIN f AS l ON l.lang = c.lang AND l.w = c.head JOIN f AS r ON r.lang = c.lang AND r.w = c.tail
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.w ORDER BY score, cut) = 1),
+inner_pairs AS (SELECT lang, w[1:2] AS w, f FROM f WHERE k = 3 UNION ALL SELECT lang, w[2:3], f FROM f WHERE k = 3),
+longer AS (SELECT lang, w, max(f) AS longest FROM inner_pairs GROUP BY lang, w)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank,
+       array_to_string(w, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM cuts JOIN totals USING (lang) LEFT JOIN longer USING (lang, w)
+WHERE k = 3 OR longest IS NULL OR 100 * longest < 50 * a
+QUALIFY rank <= 2000"""}
