@@ -97,18 +97,24 @@ words AS (SELECT piece, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i FR
 runs AS (
   SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)),
 f AS (
-  SELECT lang, 1 AS k, [w1] AS w, count(*)::HUGEINT AS f FROM runs GROUP BY lang, w1 HAVING count(*) >= 10
-  UNION ALL SELECT lang, 2, [w1, w2], count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10
-  UNION ALL SELECT lang, 3, [w1, w2, w3], count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
-splits AS (SELECT lang, k, w, f AS a, cut, w[1:cut] AS head, w[cut + 1:] AS tail FROM f, (VALUES (1), (2)) AS o(cut) WHERE cut < k),
+  SELECT lang, 1 AS k, w1 AS phrase, count(*)::HUGEINT AS f FROM runs GROUP BY lang, w1 HAVING count(*) >= 10
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM runs WHERE w3 IS NOT NULL
+            GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+splits AS (
+  SELECT lang, k, phrase, f AS a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[cut + 1:], ' ') AS tail
+  FROM f, (VALUES (1), (2)) AS o(cut) WHERE cut < k),
 cuts AS (
-  SELECT c.lang, c.k, c.w, a, l.f AS l, r.f AS r, cut, 1000000 * a * a // (l.f * r.f) AS score
-  FROM splits AS c JOIN f AS l ON l.lang = c.lang AND l.w = c.head JOIN f AS r ON r.lang = c.lang AND r.w = c.tail
-  QUALIFY row_number() OVER (PARTITION BY c.lang, c.w ORDER BY score, cut) = 1),
-inner_pairs AS (SELECT lang, w[1:2] AS w, f FROM f WHERE k = 3 UNION ALL SELECT lang, w[2:3], f FROM f WHERE k = 3),
-longer AS (SELECT lang, w, max(f) AS longest FROM inner_pairs GROUP BY lang, w)
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank,
-       array_to_string(w, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
-FROM cuts JOIN totals USING (lang) LEFT JOIN longer USING (lang, w)
+  SELECT c.lang, c.k, c.phrase, a, l.f AS l, r.f AS r, cut, 1000000 * a * a // (l.f * r.f) AS score
+  FROM splits AS c JOIN f AS l ON l.lang = c.lang AND l.phrase = c.head JOIN f AS r ON r.lang = c.lang AND r.phrase = c.tail
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1),
+inner_pairs AS (
+  SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase, f
+  FROM f WHERE k = 3),
+longer AS (SELECT lang, phrase, max(f) AS longest FROM inner_pairs GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+       l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM cuts JOIN totals USING (lang) LEFT JOIN longer USING (lang, phrase)
 WHERE k = 3 OR longest IS NULL OR 100 * longest < 50 * a
 QUALIFY rank <= 2000"""}
