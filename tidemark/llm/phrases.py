@@ -21,7 +21,7 @@ COVERED = 50  # a longer candidate with so many hundredths of the occurrences ta
 TOP = 2000
 SCALE = 1_000_000
 #: N-grams a task counts before it writes a filter, and occurrences per key range.
-HELD = RANGE = 1 << 22
+HELD = RANGE = 1 << 20
 #: Word ids are dealt out within so many hash buckets, so no task numbers the whole vocabulary.
 ID_BUCKETS = 1024
 WORDS_BEFORE = quotient.WORDS - 1
@@ -94,7 +94,7 @@ def _coded(batches):
             if len(start) <= skipped:
                 continue
             doc = np.repeat(np.arange(j - i), per_doc)
-            piece = np.cumsum(cuts[part])[start] + doc
+            piece = np.cumsum(cuts[part], dtype=np.int32)[start] + doc
             ends = np.concatenate([[0], np.cumsum(end - start)])
             flat = part[inside[part]].tobytes()
             words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)])
