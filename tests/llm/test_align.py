@@ -1,6 +1,7 @@
 """Alignment against a plain version that goes over every pair of token occurrences."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -72,11 +73,23 @@ def test_only_irregular_pairs_are_shuffled(spark, both):
     assert {r.regular for r in by_bytes.values()} == {True, False}
 
 
-def test_parts_of_long_texts_give_the_same_tokens(both):
-    text = " ".join(t for t in TEXTS if t) + " It's 42 o'clock , isn't it ? " * 40
-    assert both.cuttable and both.b.encode("▁x") != []
-    for size in (1, 5, 17, 100):
-        parts = both.parts(text, size)
-        assert len(parts) > 3
-        assert [i for p in parts for i in both.a.encode(" " + p, add_special_tokens=False).ids] == both.a.encode(" " + text, add_special_tokens=False).ids
-        assert [i for p in parts for i in both.b.encode(p)] == both.b.encode(text)
+def test_units_give_the_same_tokens(both):
+    texts = [t for t in TEXTS if t] + [" ".join(t for t in TEXTS if t) + " It's 42 o'clock , isn't it ? \u3000 x\u00a0 y _ z 1 2 " * 3, "  a", "b  ", " \n c \n"]
+    texts += ["".join(random.Random(i).choices("ab1 ,.'\n\t é漢▁\u00a0\u3000\u2009s😀", k=60)) for i in range(400)]
+    assert both.cuttable
+    for text in texts:
+        units = both.units(text)
+        assert " ".join(units) == text
+        assert [i for u in units for i in both.a.encode(" " + u, add_special_tokens=False).ids] == both.a.encode(" " + text, add_special_tokens=False).ids
+        assert [i for u in units for i in both.b.encode(u)] == both.b.encode(text)
+
+
+def test_units_start_anew(both, monkeypatch):
+    known = align.Units(both)
+    first = known.of(["one two three", "one  two", ""])
+    assert [len(x) for x in first] == [3, 1, 0]
+    alone = {u: known.of([u])[0] for u in ("\n", "x\n", "x\n y", "\n x")}  # as whole texts, then as parts of others
+    assert all(len(x) == 1 for x in alone.values())
+    assert [len(x) for x in known.of(["a \n b c", "x\n y z"])] == [2, 2]
+    known.clear()
+    assert known.of(["one two three"]) == [[known.number[w] for w in ("one", "two", "three")]]

@@ -19,9 +19,10 @@ from tidemark.llm.common import rows_of, save_table, text_buffers, worker_state
 from tidemark.llm.tokens import tokenizer_path
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Longer texts are encoded in parts of about so many characters, cut at places that no token crosses.
+#: Units a worker keeps and their characters; beyond either it starts anew.
+KNOWN, KNOWN_CHARS = 300_000, 16 << 20
+#: Characters given to the tokenizers at once; their results take far more memory.
 PART = 1 << 17
-_CUT = re.compile(r"(?<=\w) (?=\w)")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -63,124 +64,169 @@ class Aligner:
         for i in sorted(range(len(pieces)), key=lambda i: (self.b.is_byte(i), i)):
             by_bytes.setdefault(self.bytes_b[i], i)
         self.same = np.array([by_bytes.get(x, -1) for x in self.bytes_a], np.int64)
-        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.length_a, self.length_b = ([len(x) for x in t] for t in (self.bytes_a, self.bytes_b))
         # a space after another character starts a token in both, so texts can be cut there
         self.cuttable = not any("▁" in piece.lstrip("▁") for piece in pieces)
-        self.written = [f"{i}{end}".encode() for i in range(max(len(self.bytes_a), len(pieces))) for end in ",|;"]
 
-    def parts(self, text: str, size: int = PART) -> list[str]:
-        """Texts whose tokens, one after another, are those of ``text``; each one but the last lacks the space after it."""
-        out, at = [], 0
-        while self.cuttable and len(text) - at > size and (cut := _CUT.search(text, at + size)):
-            out.append(text[at : cut.start()])
-            at = cut.end()
-        return [*out, text[at:]]
+    def alone(self, unit: str) -> bool:
+        """Is a cut right before and after this string, at single spaces, a place that no token crosses?"""
+        return self.cuttable and bool(unit) and not any(c.isspace() or c in "▁\u180e\u200b\ufeff" for c in (unit[0], unit[-1]))
+
+    def units(self, text: str) -> list[str]:
+        """The text cut at single spaces; strings that may not stand alone stay together with their neighbours."""
+        out, open_ = [], True
+        for part in text.split(" ") if text else []:
+            alone = self.alone(part)
+            if out and (open_ or not alone):
+                out[-1] += " " + part
+            else:
+                out.append(part)
+            open_ = not alone
+        return out
 
     def encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of each text in A and in B; two empty lists where the bytes differ or there is no text."""
-        parts = [self.parts(t) for t in texts]
-        flat = [p for ps in parts for p in ps]
-        first, second = [], []
-        at = 0
-        while at < len(flat):  # a bounded part at a time: the library's results are large
+        out, at = [], 0
+        while at < len(texts):
             to, size = at, 0
-            while to < len(flat) and (to == at or size + len(flat[to]) <= 2 * PART):
-                size += len(flat[to])
+            while to < len(texts) and (to == at or size + len(texts[to]) <= PART):
+                size += len(texts[to])
                 to += 1
-            some = flat[at:to]
-            first += [e.ids for e in self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)]
-            second += self.b.encode(some, num_threads=1)
+            some = texts[at:to]
+            first = [e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)]
+            for t, a, b in zip(some, first, self.b.encode(some, num_threads=1), strict=True):
+                want = b" " + t.encode()
+                whole = t and b"".join([self.bytes_a[i] for i in a]) == want and b"".join([self.bytes_b[i] for i in b]) == want
+                out.append((a, b) if whole else ([], []))
             at = to
-        out, at = [], 0
-        for text, ps in zip(texts, parts, strict=True):
-            a = [i for ids in first[at : at + len(ps)] for i in ids] if len(ps) > 1 else first[at]
-            b = [i for ids in second[at : at + len(ps)] for i in ids] if len(ps) > 1 else second[at]
-            at += len(ps)
-            want = b" " + text.encode()
-            whole = text and b"".join([self.bytes_a[i] for i in a]) == want and b"".join([self.bytes_b[i] for i in b]) == want
-            out.append((a, b) if whole else ([], []))
+        return out
+
+    def grouped(self, a: list[int], b: list[int]) -> tuple[list[int], bytes]:
+        """Links (last ids of each group, A's above 32 bits) and the groups as text, each ended by ``;``."""
+        links, text, x, y = [], [], [], []
+        i = j = end_a = end_b = 0
+        while i < len(a) or j < len(b):
+            if end_a <= end_b:
+                x.append(a[i])
+                end_a += self.length_a[a[i]]
+                i += 1
+            else:
+                y.append(b[j])
+                end_b += self.length_b[b[j]]
+                j += 1
+            if end_a == end_b:
+                links.append(x[-1] << 32 | y[-1])
+                text.append(f"{','.join(map(str, x))}|{','.join(map(str, y))};")
+                x, y = [], []
+        return links, "".join(text).encode()
+
+
+class Units:
+    """What is known of the units met so far: how many ids they have in A and in B, their links, their groups as text."""
+
+    def __init__(self, both: Aligner):
+        self.both = both
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}  # strings between single spaces; -1: may not stand alone
+        self.joined: dict[str, int] = {}  # units of several such strings
+        self.n_a, self.n_b, self.links, self.text, self.chars = [], [], [], [], 0
+
+    def learn(self, units: list[str], into: dict[str, int]) -> None:
+        """New units; one that is not spelled by the tokens of both has no links."""
+        for u, (a, b) in zip(units, self.both.encoded(units), strict=True):
+            links, text = self.both.grouped(a, b)
+            into[u] = len(self.n_a)
+            self.n_a.append(len(a))
+            self.n_b.append(len(b))
+            self.links.append(links)
+            self.text.append(text)
+            self.chars += len(u)
+
+    def of(self, texts: list[str]) -> list[list[int]]:
+        """The units of each text by number; none for a text that the tokens of both do not spell."""
+        split = [t.split(" ") if t else [] for t in texts]
+        new = {u for units in split for u in units if u not in self.number}
+        alone = [u for u in new if self.both.alone(u)]
+        self.number.update((u, -1) for u in new.difference(alone))
+        self.learn(sorted(alone), self.number)
+        out = []
+        for text, units in zip(texts, split, strict=True):
+            found = [self.number[u] for u in units]
+            if -1 in found:
+                units = self.both.units(text)
+                joined = dict.fromkeys(u for u in units if self.number.get(u, -1) < 0)
+                self.learn([u for u in joined if u not in self.joined], self.joined)
+                found = [self.joined[u] if u in joined else self.number[u] for u in units]
+            if not all([self.links[u] for u in found]):  # a unit is not spelled: is the text as a whole?
+                self.learn([text] if text not in self.joined else [], self.joined)
+                found = [self.joined[text]] if self.links[self.joined[text]] else []
+            out.append(found)
         return out
 
 
-def aligner(first: str, second: str) -> Aligner:
+def known_units(first: str, second: str) -> Units:
     state = worker_state("aligners")
     if (first, second) not in state:
-        state[first, second] = Aligner(first, second)
+        state[first, second] = Units(Aligner(first, second))
     return state[first, second]
 
 
-def groups(a: np.ndarray, b: np.ndarray, length_a: np.ndarray, length_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the last tokens of each group in A and in B, for ids that spell the same bytes."""
-    end_a, end_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
-    at = np.searchsorted(end_b, end_a)
-    last = np.flatnonzero(end_b[at] == end_a) if len(end_b) else np.zeros(0, np.int64)
-    return last, at[last]
-
-
-def _digests(aligned: Aligner, a, b, last_a, last_b, ends) -> list[str]:
-    """sha256 of each document's groups as text; ``ends`` are the groups up to each document's end."""
-    import hashlib
-
-    n = len(a) + len(b)
-    code = np.empty(n, np.int64)
-    size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-    before_b, through_a = np.cumsum(size_b) - size_b, np.cumsum(size_a)
-    comma_a, comma_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    comma_a[last_a], comma_b[last_b] = 1, 2
-    code[np.arange(len(a)) + np.repeat(before_b, size_a)] = a * 3 + comma_a
-    code[np.arange(len(b)) + np.repeat(through_a, size_b)] = b * 3 + comma_b
-    places = np.concatenate([[0], np.cumsum(size_a + size_b)])[ends]
-    out, at = [], 0
-    for end in places.tolist():
-        text = b"".join([aligned.written[c] for c in code[at:end].tolist()])
-        out.append(hashlib.sha256(text[:-1]).hexdigest() if end > at else "")
-        at = end
-    return out
-
-
 def _aligned(first: str, second: str):
     def run(batches):
         """Per block: distinct pairs of irregular links (block, local, a, b, n), then its body; the vector of identical
         tokens of the whole task as rows of block -1."""
+        import hashlib
+
         import pyarrow as pa
 
-        both = aligner(first, second)
+        known = known_units(first, second)
+        same = known.both.same
         number = numbered()
-        seen = np.zeros(len(both.bytes_a), np.int64)
+        seen = np.zeros(len(same), np.int64)
         schema = pa.schema([("block", pa.int64()), ("local", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()),
                             ("body", pa.binary())])
 
         def pairs(block, local, a, b, n):
-            columns = [np.full(len(a), block), local, a.astype(np.int32), b.astype(np.int32), n]
+            columns = [np.full(len(a), block), local, a.astype(np.int32), b.astype(np.int32), n.astype(np.int64)]
             return pa.record_batch([*map(pa.array, columns), pa.nulls(len(a), pa.binary())], schema=schema)
 
         for batch in batches:
             _, offsets = text_buffers(batch.column("text"))
             for i, j in document_runs(np.diff(offsets)):
-                ids = both.encoded(batch.column("text").slice(i, j - i).to_pylist())
-                n_a, n_b = (np.array([len(x[k]) for x in ids], np.int64) for k in (0, 1))
-                a, b = (np.fromiter((t for x in ids for t in x[k]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
-                del ids
-                last_a, last_b = groups(a, b, both.length_a, both.length_b)
-                ends = np.searchsorted(last_a, np.cumsum(n_a))  # groups before the end of each document
-                digests = _digests(both, a, b, last_a, last_b, ends)
-                link_a, link_b = a[last_a], b[last_b]
-                regular = both.same[link_a] == link_b
-                seen += np.bincount(link_a[regular], minlength=len(seen))
-                key, local, n = np.unique(link_a[~regular] << 32 | link_b[~regular], return_inverse=True, return_counts=True)
-                link = link_a.astype(np.int32)
-                link[~regular] = -1 - local.astype(np.int32)
+                if len(known.number) + len(known.joined) > KNOWN or known.chars > KNOWN_CHARS:
+                    known.clear()
+                docs = known.of(batch.column("text").slice(i, j - i).to_pylist())
+                text = known.text
+                digests = b"".join([hashlib.sha256(b"".join([text[u] for u in d])[:-1]).digest() if d else bytes(32) for d in docs])
+                ends = np.cumsum([len(d) for d in docs])
+                unit, place, times = np.unique(np.fromiter((u for d in docs for u in d), np.int64, int(ends[-1])),
+                                               return_inverse=True, return_counts=True)
+                links = [known.links[u] for u in unit.tolist()]
+                sizes = np.array([len(x) for x in links], np.int64)
+                link = np.fromiter((x for some in links for x in some), np.int64, int(sizes.sum()))
+                weight = np.repeat(times, sizes)
+                link_a, link_b = link >> 32, link & 0xFFFFFFFF
+                regular = same[link_a] == link_b
+                np.add.at(seen, link_a[regular], weight[regular])
+                key, local = np.unique(link[~regular], return_inverse=True)
+                n = np.zeros(len(key), np.int64)
+                np.add.at(n, local, weight[~regular])
+                code = link_a.astype(np.int32)  # identical tokens by A's id, other pairs by their place in the block
+                code[~regular] = -1 - local.astype(np.int32)
                 block = next(number)
                 if len(key):
                     yield pairs(block, np.arange(len(key), dtype=np.int32), key >> 32, key & 0xFFFFFFFF, n)
                 doc = batch.column("doc_id").slice(i, j - i)
+                counts = [np.array([c[u] for u in unit.tolist()], np.int64) for c in (known.n_a, known.n_b)]
                 body = squeezed(doc.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                                doc.is_null().to_numpy(zero_copy_only=False).astype(np.int8), n_a, n_b, ends.astype(np.int64),
-                                np.frombuffer(b"".join(bytes.fromhex(d) if d else bytes(32) for d in digests), np.uint8), link)
+                                doc.is_null().to_numpy(zero_copy_only=False).astype(np.int8), ends.astype(np.int64), place.astype(np.int32),
+                                *counts, sizes, code, np.frombuffer(digests, np.uint8))
                 yield pa.record_batch([[block], [None], [None], [None], [None], [body]], schema=schema)
         met = np.flatnonzero(seen)
         if len(met):
-            yield pairs(-1, np.zeros(len(met), np.int32), met, both.same[met], seen[met])
+            yield pairs(-1, np.zeros(len(met), np.int32), met, same[met], seen[met])
 
     return run
 
@@ -190,18 +236,19 @@ def _counted(batches, count: np.ndarray, best: np.ndarray):
     import pyarrow as pa
 
     for _, (local, n, is_best), body in block_answers(batches, ["local", "n", "best"]):
-        doc, null, n_a, n_b, ends, digests, link = expanded(body)
+        doc, null, ends, place, n_a, n_b, sizes, code, digests = expanded(body)
         counts, bests = np.zeros(len(local), np.int64), np.zeros(len(local), bool)
         counts[local], bests[local] = n, is_best
-        own = link < 0
-        value, top = np.empty(len(link), np.int64), np.empty(len(link), bool)
-        value[~own], top[~own] = count[link[~own]], best[link[~own]]
-        value[own], top[own] = counts[-1 - link[own]], bests[-1 - link[own]]
-        total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[ends], prepend=0)  # noqa: B023, E731
-        n_groups = np.diff(ends, prepend=0)
-        hexes = [x.tobytes().hex() if k else "" for x, k in zip(digests.reshape(-1, 32), n_groups, strict=True)]
-        yield pa.record_batch([pa.array(doc, mask=null.astype(bool)), pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_groups),
-                               pa.array(total(top)), pa.array(total(value)), pa.array(hexes)],
+        own = code < 0
+        value, top = np.empty(len(code), np.int64), np.empty(len(code), bool)
+        value[~own], top[~own] = count[code[~own]], best[code[~own]]
+        value[own], top[own] = counts[-1 - code[own]], bests[-1 - code[own]]
+        ended = np.cumsum(sizes)
+        of_unit = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[ended], prepend=0)  # noqa: B023, E731
+        of_doc = lambda x: pa.array(np.diff(np.concatenate([[0], np.cumsum(x[place])])[ends], prepend=0))  # noqa: B023, E731
+        hexes = [x.tobytes().hex() if k else "" for x, k in zip(digests.reshape(-1, 32), np.diff(ends, prepend=0), strict=True)]
+        yield pa.record_batch([pa.array(doc, mask=null.astype(bool)), of_doc(n_a), of_doc(n_b), of_doc(sizes), of_doc(sizes),
+                               of_doc(of_unit(top)), of_doc(of_unit(value)), pa.array(hexes)],
                               names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
 
@@ -224,7 +271,7 @@ def alignment_report(docs: DataFrame, first: str | None = None, second: str | No
 
     A group ends where a token of A and one of B end at the same byte; no token is empty, so it has one link, its last pair.
     Texts that are NULL, empty or not spelled by the tokens of both have zeros and an empty digest.  Repeated rows count each.
-    Texts may be of any length: they are encoded in parts that give the same tokens.  An empty table gives no rows.
+    Texts may be of any length: they are encoded by units that give the same tokens.  An empty table gives no rows.
     """
     blocks, pairs = aligned_tables(docs, first, second)
     # one row per id of A's vocabulary at most
