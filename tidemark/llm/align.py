@@ -7,6 +7,7 @@ groups are counted as pairs by a shuffle, one row per block of documents and dis
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 
@@ -64,7 +65,8 @@ class Aligner:
         for i in sorted(range(len(pieces)), key=lambda i: (self.b.is_byte(i), i)):
             by_bytes.setdefault(self.bytes_b[i], i)
         self.same = np.array([by_bytes.get(x, -1) for x in self.bytes_a], np.int64)
-        self.length_a, self.length_b = ([len(x) for x in t] for t in (self.bytes_a, self.bytes_b))
+        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.signed = [f"{i}{end}".encode() for i in range(max(len(self.bytes_a), len(pieces))) for end in ",|;"]
         # a space after another character starts a token in both, so texts can be cut there
         self.cuttable = not any("▁" in piece.lstrip("▁") for piece in pieces)
 
@@ -94,31 +96,49 @@ class Aligner:
                 to += 1
             some = texts[at:to]
             first = [e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)]
-            for t, a, b in zip(some, first, self.b.encode(some, num_threads=1), strict=True):
-                want = b" " + t.encode()
-                whole = t and b"".join([self.bytes_a[i] for i in a]) == want and b"".join([self.bytes_b[i] for i in b]) == want
-                out.append((a, b) if whole else ([], []))
+            second = self.b.encode(some, num_threads=1)
+            want = [b" " + t.encode() for t in some]
+            if all(some) and self._spelled(first, want, self.bytes_a, self.length_a) and self._spelled(second, want, self.bytes_b, self.length_b):
+                out += zip(first, second, strict=True)
+            else:
+                for t, x, a, b in zip(some, want, first, second, strict=True):
+                    whole = t and b"".join([self.bytes_a[i] for i in a]) == x and b"".join([self.bytes_b[i] for i in b]) == x
+                    out.append((a, b) if whole else ([], []))
             at = to
         return out
 
-    def grouped(self, a: list[int], b: list[int]) -> tuple[list[int], bytes]:
-        """Links (last ids of each group, A's above 32 bits) and the groups as text, each ended by ``;``."""
-        links, text, x, y = [], [], [], []
-        i = j = end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                x.append(a[i])
-                end_a += self.length_a[a[i]]
-                i += 1
-            else:
-                y.append(b[j])
-                end_b += self.length_b[b[j]]
-                j += 1
-            if end_a == end_b:
-                links.append(x[-1] << 32 | y[-1])
-                text.append(f"{','.join(map(str, x))}|{','.join(map(str, y))};")
-                x, y = [], []
-        return links, "".join(text).encode()
+    @staticmethod
+    def _spelled(ids: list[list[int]], want: list[bytes], by_id: list[bytes], length: np.ndarray) -> bool:
+        """Do all of these ids spell the bytes wanted of them?"""
+        flat, n = _flat(ids)
+        ends = np.concatenate([[0], np.cumsum(length[flat])])[np.cumsum(n)]
+        whole = (ends == np.cumsum([len(x) for x in want])).all()
+        return bool(whole) and b"".join([by_id[i] for i in flat.tolist()]) == b"".join(want)
+
+    def grouped(self, ids: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """For texts of which A's and B's ids spell the same bytes: the links (last ids of each group, A's above 32 bits) of
+        all, how many each has, and the groups of each as text, every one ended by ``;``."""
+        (a, n_a), (b, n_b) = (_flat([x[k] for x in ids]) for k in (0, 1))
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        at = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[at] == end_a) if len(a) else np.zeros(0, np.int64)
+        last_b = at[last_a]
+        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        sign_a[last_a], sign_b[last_b] = 1, 2  # a comma follows, but "|" A's last and ";" B's last of a group
+        code = np.empty(len(a) + len(b), np.int64)
+        code[np.arange(len(a)) + np.repeat(np.cumsum(size_b) - size_b, size_a)] = a * 3 + sign_a
+        code[np.arange(len(b)) + np.repeat(np.cumsum(size_a), size_b)] = b * 3 + sign_b
+        ends = np.searchsorted(last_a, np.cumsum(n_a))
+        places = np.concatenate([[0], np.cumsum(size_a + size_b)])[ends].tolist()
+        signed = [self.signed[c] for c in code.tolist()]
+        texts = [b"".join(signed[i:j]) for i, j in zip([0, *places], places, strict=False)]
+        return a[last_a] << 32 | b[last_b], np.diff(ends, prepend=0), texts
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.array([len(x) for x in ids], np.int64)
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(n.sum())), n
 
 
 class Units:
@@ -135,14 +155,14 @@ class Units:
 
     def learn(self, units: list[str], into: dict[str, int]) -> None:
         """New units; one that is not spelled by the tokens of both has no links."""
-        for u, (a, b) in zip(units, self.both.encoded(units), strict=True):
-            links, text = self.both.grouped(a, b)
-            into[u] = len(self.n_a)
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            self.links.append(links)
-            self.text.append(text)
-            self.chars += len(u)
+        ids = self.both.encoded(units)
+        links, n, texts = self.both.grouped(ids)
+        into.update(zip(units, range(len(self.n_a), len(self.n_a) + len(units)), strict=True))
+        self.n_a += [len(a) for a, _ in ids]
+        self.n_b += [len(b) for _, b in ids]
+        self.links += np.split(links, np.cumsum(n)[:-1]) if units else []
+        self.text += texts
+        self.chars += sum(map(len, units))
 
     def of(self, texts: list[str]) -> list[list[int]]:
         """The units of each text by number; none for a text that the tokens of both do not spell."""
@@ -159,9 +179,9 @@ class Units:
                 joined = dict.fromkeys(u for u in units if self.number.get(u, -1) < 0)
                 self.learn([u for u in joined if u not in self.joined], self.joined)
                 found = [self.joined[u] if u in joined else self.number[u] for u in units]
-            if not all([self.links[u] for u in found]):  # a unit is not spelled: is the text as a whole?
+            if not all([self.text[u] for u in found]):  # a unit is not spelled: is the text as a whole?
                 self.learn([text] if text not in self.joined else [], self.joined)
-                found = [self.joined[text]] if self.links[self.joined[text]] else []
+                found = [self.joined[text]] if self.text[self.joined[text]] else []
             out.append(found)
         return out
 
@@ -205,7 +225,7 @@ def _aligned(first: str, second: str):
                                                return_inverse=True, return_counts=True)
                 links = [known.links[u] for u in unit.tolist()]
                 sizes = np.array([len(x) for x in links], np.int64)
-                link = np.fromiter((x for some in links for x in some), np.int64, int(sizes.sum()))
+                link = np.concatenate([np.zeros(0, np.int64), *links])
                 weight = np.repeat(times, sizes)
                 link_a, link_b = link >> 32, link & 0xFFFFFFFF
                 regular = same[link_a] == link_b
