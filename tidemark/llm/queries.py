@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import align, brown, decontam, minhash, phrases, pii, quality, suffix, template, tokens, toxicity
+from tidemark.llm import align, brown, decontam, jaccard, minhash, phrases, pii, quality, suffix, template, tokens, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,10 +61,14 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align.alignment_report(_table(spark, folder, "documents"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.component_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_toxicity, op3_suffix_dedup, op4_quality_rules, op5_lm_scoring,
                             op6_minhash, op7_token_files, op8_packing, op9_decontamination, op10_pii, op11_phrases,
-                            op12_alignment)}
+                            op12_alignment, op13_ngram_jaccard)}
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 #: The measures and rules of ``quality`` written out for DuckDB; windows are compared as text, not by hash.
