@@ -5,11 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregates import changelog, first_per_key, latest_by, monotone
+from tidemark.operators.aggregates import changelog, dedup, first_per_key, latest_by, monotone
 from tidemark.operators.joins import interval_join, lookup_join
 from tidemark.plans import datasets as ds
 from tidemark.plans import dictionaries as fixed
-from tidemark.streaming import batches, sinks, stateful
+from tidemark.streaming import batches, complete, sinks, stateful
 
 
 class Feed:
@@ -58,8 +58,8 @@ def test_count_stream(feed, tmp_path, rows):
     assert rows(got) == rows(changelog(feed.batch, ["k"], {"n": ("count", "o")}, "o"))
 
 
-# Every key cut into chunks of 7 offsets, the whole state written every second batch.
-CUT = {"width": 7, "snapshot_every": 2}
+# Every key cut into chunks of 7 offsets, the state in three buckets.
+CUT = {"width": 7, "buckets": 3}
 
 
 def test_monotone_and_changelog_logs(feed, spark, tmp_path, rows):
@@ -124,13 +124,76 @@ def test_replayed_batch_leaves_its_rows_once(feed, spark, tmp_path, rows):
 
     def run():
         sinks.drain(sinks.upsert(feed.stream, path, ["k"], str(progress), order="o", mode="append"))
-        return rows(spark.read.parquet(path))
+        return rows(sinks.current(spark, path, ["k"]))
 
     first = run()
+    assert len(first) == 2
     forget_last_commit(progress)
     assert run() == first
 
 
+def test_reading_a_keyed_table_opens_one_version_per_bucket(feed, spark, tmp_path, rows):
+    path = str(tmp_path / "table")
+
+    def run():
+        sinks.drain(sinks.upsert(feed.stream, path, ["k"], str(tmp_path / "p"), order="o", mode="append", buckets=4))
+        return sinks.current(spark, path, ["k"])
+
+    files = len(run().inputFiles())
+    for n in range(5):
+        feed.add([(500 + n, "a", n, None), (600 + n, None, n, None)])
+    table = run()
+    assert len(table.inputFiles()) <= files + 1  # the new NULL key may have a bucket of its own
+    assert rows(table.select("k", "o")) == [(None, 604), ("a", 504), ("b", rows(feed.batch.where("k = 'b'").groupBy("k").agg(F.max("o")))[0][1])]
+
+
+def timed(df, seconds, time):
+    return df.withColumn(time, F.timestamp_seconds(seconds))
+
+
+@pytest.mark.parametrize("slot", [1000, 86_400])
+def test_interval_join_log_loses_no_late_row(spark, tmp_path, rows, slot):
+    left = Feed(spark, tmp_path / "l", "k STRING, ls BIGINT, i INT")
+    right = Feed(spark, tmp_path / "r", "b STRING, rs BIGINT, j INT")
+    day = 86_400
+    left.add([("a", 20 * day, 1), ("b", 30 * day, 2), (None, 5, 7)])
+    right.add([("a", 25 * day, 1), ("b", 0, 2), ("a", None, 8)])
+    left.add([("a", 25 * day + 7200, 3), ("a", 25 * day - 7201, 4), ("b", 0, 5)])  # the first meets an old row
+    right.add([("a", 20 * day - 7200, 3), ("b", 30 * day + 1, 4), ("b", 30 * day + 7201, 5), ("b", 100, 6)])  # 10 days late, untimed
+
+    path, progress = str(tmp_path / "log"), tmp_path / "progress"
+
+    def run():
+        sinks.drain(complete.interval_join_log(timed(left.stream, "ls", "lt"), timed(right.stream, "rs", "rt"), path, str(progress),
+                                               ("k", "b"), ("lt", "rt"), 7200, slot=slot))
+        return rows(batches.read_rows(spark, path).select("i", "j"))
+
+    def want():
+        both = interval_join(timed(left.batch, "ls", "lt"), timed(right.batch, "rs", "rt"), ("k", "b"), ("lt", "rt"), 7200)
+        return rows(both.select("i", "j"))
+
+    first = run()
+    assert first == want() == [(1, 3), (2, 4), (3, 1), (5, 2), (5, 6)]
+    forget_last_commit(progress)
+    assert run() == first
+    left.add([("a", 20 * day, 9), ("b", 30 * day, 10)])
+    assert run() == want() == sorted([*first, (9, 3), (10, 4)])
+
+
+def test_dedup_log_equals_the_batch_form(feed, spark, tmp_path, rows):
+    feed.add([(800, None, 90, None), (801, "late", 1, None), (802, None, 91, None), (803, "a", 200, None)])
+
+    def run(horizon):
+        path = str(tmp_path / f"log-{horizon}")
+        column = None if horizon is None else "t"
+        sinks.drain(complete.dedup_log(feed.stream.fillna({"t": 0}), path, path + "-p", ["k"], "o", column, horizon, **CUT))
+        return rows(batches.read_rows(spark, path)), rows(dedup(feed.batch.fillna({"t": 0}), ["k"], "o", column, horizon))
+
+    for horizon in (None, 3, 20, 100):
+        got, want = run(horizon)
+        assert got == want and (801, "late", 1, None) in want
+
+
 def test_append_log_restart_adds_only_new_rows(feed, tmp_path, rows):
     assert drain(feed.stream, tmp_path).count() == 120
     feed.add([(900, "z", 1, None)])
@@ -153,10 +216,8 @@ def test_interval_join_stream_with_late_rows(spark, tmp_path, rows):
     right.add([("a", 7201, 1), ("a", 100, 2)])
     right.add([("a", 14400, 3), ("b", 7250, 4), ("b", 7251, 5)])
 
-    def timed(df, seconds, time):
-        return df.withColumn(time, F.timestamp_seconds(F.col(seconds) + 1_600_000_000))
-
     def join(l, r):
+        l, r = l.withColumn("ls", F.col("ls") + 1_600_000_000), r.withColumn("rs", F.col("rs") + 1_600_000_000)
         return interval_join(timed(l, "ls", "lt"), timed(r, "rs", "rt"), ("k", "b"), ("lt", "rt"), 7200).select("i", "j")
 
     got = drain(join(left.stream, right.stream), tmp_path)

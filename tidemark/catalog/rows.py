@@ -11,6 +11,7 @@ from tidemark.operators import filters as flt
 from tidemark.operators.aggregates import dedup
 from tidemark.operators.joins import hydrate
 from tidemark.operators.ranking import apply_scores
+from tidemark.operators.recency import reuse_distance
 from tidemark.sources.topics import incremental_since, json_topic, match_topics
 from tidemark.streaming.sinks import append_into, with_event_time
 
@@ -228,13 +229,28 @@ def _(t):
     return dedup(t.events, ["user_id"], "event_id").select("event_id", "user_id")
 
 
-@query("set_dedup_horizon", """
+DEDUP_HORIZON_SQL = """
     SELECT event_id, user_id FROM (SELECT event_id, user_id, event_id - lag(event_id) OVER
-    (PARTITION BY user_id ORDER BY event_id) AS gap FROM events) WHERE gap IS NULL OR gap > 100""")
+    (PARTITION BY user_id ORDER BY event_id) AS gap FROM events) WHERE gap IS NULL OR gap > 100"""
+
+
+@query("set_dedup_horizon", DEDUP_HORIZON_SQL)
 def _(t):
     return dedup(t.events, ["user_id"], "event_id", "event_id", 100).select("event_id", "user_id")
 
 
+# From the definition: fewer than so many other keys came since the key's last row.
+@query("set_dedup_last_n", " UNION ALL ".join(f"""
+    SELECT CAST({n} AS INTEGER) AS remembered, event_id, user_id FROM (SELECT event_id, user_id, lag(event_id) OVER
+      (PARTITION BY user_id ORDER BY event_id) AS last FROM events) AS e
+    WHERE last IS NULL OR (SELECT count(DISTINCT b.user_id) FROM events AS b
+                           WHERE b.event_id > e.last AND b.event_id < e.event_id) >= {n}""" for n in (5, 20)))
+def _(t):
+    rows = reuse_distance(t.events.select("event_id", "user_id"), ["user_id"], "event_id")
+    rows = rows.withColumn("remembered", F.explode(F.array(F.lit(5), F.lit(20))))
+    return rows.where(F.col("__distance").isNull() | (F.col("__distance") >= F.col("remembered"))).drop("__distance")
+
+
 @query("sc_shift_decimal", """
     SELECT o_orderkey, TRY_CAST(left(lpad(t, 27, '0'), 25) || '.' || right(lpad(t, 27, '0'), 2) AS DECIMAL(27, 9))
            AS amount

@@ -1,20 +1,20 @@
-"""Streaming forms, drained once over the driver's tables as file streams; results must equal the batch SQL."""
+"""Streaming forms over the driver's tables as file streams, most of them in several micro-batches; results must equal
+the batch SQL."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalog.joins import INTERVAL_SQL, as_of_sql
+from tidemark.catalog.joins import as_of_sql
 from tidemark.catalog.registry import query
-from tidemark.catalog.rows import cents
+from tidemark.catalog.rows import DEDUP_HORIZON_SQL, cents
 from tidemark.catalog.tables import CHANGELOG_SQL, MONOTONE_SQL
 from tidemark.operators.filters import of_type
-from tidemark.operators.joins import interval_join
 from tidemark.session import shared_folder
-from tidemark.streaming import batches, sinks, stateful
+from tidemark.streaming import batches, complete, sinks, stateful
 
 
 def drained(t, df: DataFrame) -> DataFrame:
@@ -29,16 +29,46 @@ def utc(column: str):
     return F.col(column).cast("timestamp")
 
 
-@query("st_interval_join", INTERVAL_SQL)
+PARTS = 4
+
+
+def arriving(t, df: DataFrame, part: Column) -> DataFrame:
+    """The rows as a stream of PARTS files, one a micro-batch, in the order of ``part`` (0 to PARTS - 1)."""
+    folder = f"{shared_folder(t.spark)}/arriving-{uuid.uuid4().hex}"
+    for i in range(PARTS):
+        df.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def in_order(t, df: DataFrame, order: str) -> DataFrame:
+    """The rows as a stream that follows ``order``, a quarter of its range a micro-batch."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    step = (high - low) // PARTS + 1 if high is not None else 1
+    return arriving(t, df, F.floor((F.col(order) - F.lit(low or 0)) / step))
+
+
+# Every seventh row has no time; what has none is stamped with the epoch.
+UNTIMED_SQL = """
+    WITH e AS (SELECT event_id, user_id, event_type, CASE WHEN event_id % 7 = 0 THEN TIMESTAMP '1970-01-01' ELSE ts END AS ts FROM events)
+    SELECT s.event_id AS signup_id, p.event_id AS purchase_id, s.user_id
+    FROM e s JOIN e p ON s.user_id = p.user_id AND p.ts BETWEEN s.ts - INTERVAL 2 HOUR AND s.ts + INTERVAL 2 HOUR
+    WHERE s.event_type = 'signup' AND p.event_type = 'purchase'"""
+
+
+@query("st_interval_join", UNTIMED_SQL)
 def _(t):
+    untimed = F.when(F.col("event_id") % 7 == 0, F.timestamp_seconds(F.lit(0))).otherwise(utc("ts"))
+    rows = t.events.select("event_id", "user_id", "event_type", untimed.alias("ts"))
+    events = arriving(t, rows, F.pmod(F.xxhash64("event_id"), F.lit(PARTS)))  # in no order of time at all
+
     def side(name, **columns):
-        rows = of_type(t.stream("events"), name, "event_type").withColumn("ts", utc("ts"))
-        return rows.select(*[F.col(source).alias(out) for out, source in columns.items()])
+        return of_type(events, name, "event_type").select(*[F.col(source).alias(out) for out, source in columns.items()])
 
     signups = side("signup", signup_id="event_id", user_id="user_id", signup_ts="ts")
     purchases = side("purchase", purchase_id="event_id", buyer="user_id", purchase_ts="ts")
-    pairs = interval_join(signups, purchases, ("user_id", "buyer"), ("signup_ts", "purchase_ts"), 7200)
-    return drained(t, pairs.select("signup_id", "purchase_id", "user_id"))
+    return logged(t, lambda path, progress: complete.interval_join_log(
+        signups, purchases, path, progress, ("user_id", "buyer"), ("signup_ts", "purchase_ts"), 7200)).select(
+            "signup_id", "purchase_id", "user_id")
 
 
 def logged(t, start) -> DataFrame:
@@ -50,14 +80,15 @@ def logged(t, start) -> DataFrame:
 
 @query("st_monotone", MONOTONE_SQL)
 def _(t):
-    orders = t.stream("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = in_order(t, t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
     return logged(t, lambda path, progress: batches.monotone_log(
         orders, path, progress, "o_custkey", "o_orderdate", "o_orderkey")).select("o_orderkey", "o_custkey")
 
 
 @query("st_changelog", CHANGELOG_SQL)
 def _(t):
-    rows = of_type(t.stream("orders"), "F", "o_orderstatus").select("o_orderkey", "o_custkey", "o_orderpriority")
+    rows = of_type(t.orders, "F", "o_orderstatus").select("o_orderkey", "o_custkey", "o_orderpriority")
+    rows = in_order(t, rows, "o_orderkey")
     values = {"n": ("count", "o_orderkey"), "top": ("max", "o_orderpriority")}
     return logged(t, lambda path, progress: batches.changelog_log(
         rows, path, progress, ["o_custkey"], values, "o_orderkey")).drop("o_orderpriority")
@@ -65,8 +96,9 @@ def _(t):
 
 @query("st_lookup", as_of_sql("view", "signup", "ASOF JOIN"))
 def _(t):
-    views = of_type(t.stream("events"), "view", "event_type").select("event_id", "user_id")
-    signups = of_type(t.stream("events"), "signup", "event_type").select(
+    events = in_order(t, t.events.select("event_id", "user_id", "event_type", "props"), "event_id")
+    views = of_type(events, "view", "event_type").select("event_id", "user_id")
+    signups = of_type(events, "signup", "event_type").select(
         F.col("user_id").alias("owner"), F.col("event_id").alias("at"), F.col("props").alias("seen_props"),
         F.col("event_id").alias("seen_id"))
     return logged(t, lambda path, progress: batches.lookup_log(
@@ -93,10 +125,10 @@ def _(t):
     return drained(t, stateful.first_seen(errors, ["user_id"]))
 
 
-@query("st_dedup", "SELECT DISTINCT user_id FROM events")
+@query("st_dedup", DEDUP_HORIZON_SQL)
 def _(t):
-    rows = t.stream("events").withColumn("ts", utc("ts")).select("user_id", "ts")
-    return drained(t, stateful.dedup_within(rows, ["user_id"], "ts", "3650 days").select("user_id"))
+    rows = in_order(t, t.events.select("event_id", "user_id"), "event_id")
+    return logged(t, lambda path, progress: complete.dedup_log(rows, path, progress, ["user_id"], "event_id", "event_id", 100))
 
 
 @query("st_latest_table", """

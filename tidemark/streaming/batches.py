@@ -4,9 +4,9 @@ The keyed-state operators in ``stateful`` answer with little delay, but take a k
 task.  Here a micro-batch may be large (a whole backlog) and one key may hold most of it: the batch operators cut hot
 keys, and what earlier batches left behind is one row per key, joined in.
 
-Results go to ``<path>/rows/batch=<id>`` and the state of a batch's keys to ``<path>/state/batch=<id>``; every
-``SNAPSHOT_EVERY``-th batch writes the state of all keys, so later batches read back to there only.  A batch reads only
-the state of earlier batches and overwrites its own folders, so a replay after a failure changes nothing.
+Results go to ``<path>/rows/batch=<id>``, the state to a keyed table in ``<path>/state``: a batch opens and rewrites the
+buckets of its own keys only.  It reads the state of earlier batches and overwrites its own, so a replay after a failure
+changes nothing.
 """
 
 from __future__ import annotations
@@ -17,21 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.aggregates import latest_rows, monotone_parts
+from tidemark.operators.aggregates import monotone_parts
 from tidemark.operators.joins import AS_OF_ORDER, as_of_parts
 from tidemark.operators.running import FOLDS, Running, present, running, totals_by
+from tidemark.streaming.keyed import BUCKETS, KeyedTable
 from tidemark.streaming.sinks import triggered
 
-SNAPSHOT_EVERY = 50
-
 
 def running_log(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], folds: Sequence[Running],
     finish: Callable[[DataFrame], DataFrame] = lambda rows: rows, inclusive: bool = True, once: bool = True,
-    every: str = "1 minute", width: int | None = None, snapshot_every: int = SNAPSHOT_EVERY,
+    every: str = "1 minute", width: int | None = None, buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Write every row with its running values over everything so far, after ``finish``; read it by ``read_rows``."""
     keys = list(keys)
+    table = KeyedTable(f"{path}/state", keys, buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -40,28 +40,20 @@ def running_log(
         try:
             rows = running(batch, keys, order, folds, inclusive, width)
             totals = totals_by(batch, keys, order, folds)
-            if batch_id > 0:
-                state = _state(spark, path, keys, batch_id, snapshot_every)
+            touched = table.touched(totals)
+            state = table.read(spark, touched, before=batch_id)
+            if state is not None:
+                idle = state.join(totals.select(*keys), keys, "left_anti")
                 rows = _continue(rows, state, keys, {f.out: f for f in folds})
-                totals = _continue(totals, state, keys, {f"__all_{f.out}": f for f in folds})
-                if batch_id % snapshot_every == 0:
-                    idle = state.join(totals.select(*keys), keys, "left_anti")
-                    totals = totals.unionByName(idle)
+                totals = _continue(totals, state, keys, {f"__all_{f.out}": f for f in folds}).unionByName(idle)
             finish(rows).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-            totals.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+            table.replace(totals, batch_id, touched)
         finally:
             batch.unpersist()
 
     return triggered(stream.writeStream.foreachBatch(write), checkpoint, once, every).start()
 
 
-def _state(spark: SparkSession, path: str, keys: list[str], batch_id: int, snapshot_every: int) -> DataFrame:
-    """Per key, the folds over all batches before this one."""
-    snapshot = (batch_id - 1) // snapshot_every * snapshot_every
-    since = spark.read.parquet(f"{path}/state").where(F.col("batch").between(snapshot, batch_id - 1))
-    return latest_rows(since, keys, "batch").drop("batch")
-
-
 def _continue(df: DataFrame, state: DataFrame, keys: list[str], folds: dict[str, Running]) -> DataFrame:
     """Combine the columns named in ``folds`` with what earlier batches left."""
     past = state.select(*keys, *[F.col(c).alias(f"__past{c}") for c in state.columns if c not in keys])

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalars import record_json, seconds_to_time
 from tidemark.operators.aggregates import latest_rows
+from tidemark.streaming.keyed import BUCKETS, KeyedTable
 
 
 def with_event_time(df: DataFrame, seconds: str = "blockTime", out: str = "timestamp") -> DataFrame:
@@ -55,16 +56,20 @@ def write_kafka(
 
 def upsert(
     df: DataFrame, path: str, keys: Sequence[str], checkpoint: str, order: str | None = None, once: bool = True,
-    every: str = "10 seconds", mode: str = "update",
+    every: str = "10 seconds", mode: str = "update", buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Keep a keyed table as a log of updates, one folder per micro-batch; ``current`` reads the table.
+    """Keep a keyed table in key-hash buckets, of which a micro-batch rewrites those of its keys; ``current`` reads the table.
 
     With ``order`` a batch is first reduced to its last row per key; an aggregation in update mode already is.
-    A batch replayed after a failure overwrites its own folder, so it leaves its rows once.
+    A batch replayed after a failure starts from the table before it, so it leaves its rows once.
     """
+    table = KeyedTable(path, list(keys), buckets)
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Written first: the merge reads the rows twice, and a batch of an aggregation is not to be computed twice.
         rows = latest_rows(batch, keys, order) if order else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/incoming")
+        table.merge(batch.sparkSession.read.parquet(f"{path}/incoming"), batch_id)
 
     writer = df.writeStream.outputMode(mode).foreachBatch(write)
     return triggered(writer, checkpoint, once, every).start()
@@ -81,14 +86,19 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The keyed table: the row of the latest batch per key."""
-    return latest_rows(spark.read.parquet(path), keys, "batch").drop("batch")
-
-
-def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
-    """Write the keyed table without superseded rows to ``target``, where a restarted stream can go on."""
-    last = spark.read.parquet(path).agg(F.max("batch")).first()[0]
-    current(spark, path, keys).write.mode("overwrite").parquet(f"{target}/batch={last}")
+    """The keyed table: one version of each bucket, whatever the number of batches written."""
+    table = KeyedTable(path, list(keys)).read(spark)
+    if table is None:
+        raise ValueError(f"no keyed table at {path}")
+    return table
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str, buckets: int = BUCKETS) -> None:
+    """Write the keyed table without superseded versions to ``target``, where a restarted stream can go on (with any
+    number of buckets)."""
+    table = KeyedTable(target, list(keys), buckets)
+    rows = current(spark, path, keys)
+    table.replace(rows, KeyedTable(path, list(keys)).versions(spark)[0], table.touched(rows))
 
 
 def scores_now(spark: SparkSession, path: str, group: str, member: str, score: str) -> DataFrame:
