@@ -34,8 +34,9 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-NODE = re.compile(r"[^\s]*[0-9@][^\s]*")
-EDGES = re.compile(r"^[\"'(\[{<]+|[\"')\]}>.,;:!?]+$")
+WORD = re.compile(r"\S+")
+HELD = re.compile("[0-9@]")
+BEFORE, AFTER = "\"'([{<", "\"')]}>.,;:!?"
 MARKS = "@.+-()=:/_\""
 
 
@@ -83,17 +84,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def nodes(text: str) -> list[tuple[int, int]]:
     """Tokens with a digit or an ``@``, without brackets, quotes and punctuation around them."""
     out = []
-    for m in NODE.finditer(text):
-        a, b = m.span()
-        word = m[0]
-        lead = EDGES.match(word)
-        if lead and lead.start() == 0 and lead[0][0] in "\"'([{<":
-            a, word = a + lead.end(), word[lead.end() :]
-        tail = re.search(r"[\"')\]}>.,;:!?]+$", word)
-        if tail:
-            b -= len(tail[0])
-        if b > a:
-            out.append((a, b))
+    for m in WORD.finditer(text):
+        if HELD.search(m[0]):
+            a, b = m.span()
+            bare = m[0].lstrip(BEFORE)
+            a, b = b - len(bare), b - len(bare) + len(bare.rstrip(AFTER))
+            if b > a:
+                out.append((a, b))
     return out
 
 

@@ -16,20 +16,27 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mixed
+from tidemark.llm.common import mixed, save_table
 
 #: A class is large with so many tokens, and frequent on so many pages and such a share of the host's pages.
 LARGE, FREQUENT, SHARE = 3, 5, 0.5
+#: Up to so many row ids, and so many template tokens, 8 bytes each and counted first, are broadcast, so pages are not shuffled;
+#: beyond it pages are joined by a shuffle, whose hot hosts adaptive execution splits.
+BROADCAST_IDS, BROADCAST_TOKENS = 2_000_000, 4_000_000
 
+# Possessive, and no unquoted "<" inside a tag's attributes: nothing is read again from another start.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|iframe|svg|xmp)\b.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S | re.I)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|iframe|svg|xmp)\b.*?(?:</\1\s*>|$)|<[!?][^>]*+(?:>|$)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>]++)*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<", re.S | re.I)
+UNCLOSED = re.compile(r"<(?:[!?]|(?:script|style|noscript|template|iframe|svg|xmp)\b)", re.I)
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]++)")
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -63,33 +70,55 @@ def _names(attributes: str) -> tuple[str, set[str], bool]:
     words = {w.lower() for k in ("class", "id", "role") for w in WORDS.findall(found.get(k, ""))}
     style = found.get("style", "").replace(" ", "").lower()
     hidden = "display:none" in style or "visibility:hidden" in style or found.get("aria-hidden", "").lower() == "true" or bool(
-        re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes, re.I))
+        re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", QUOTED.sub("", attributes), re.I))
     return signature, words, hidden
 
 
+def matches(page: str):
+    """The page's tags and texts, as matches of TOKEN.  What follows the last ``>`` has no tags and is looked at once."""
+    last = page.rfind(">") + 1
+    m = None
+    for m in TOKEN.finditer(page, 0, last):
+        yield m
+    if m and m[0].startswith("<!--") and not (len(m[0]) > 6 and m[0].endswith("-->")):
+        return  # a comment that nothing closes
+    if m and m[1] and not re.search(rf"</{m[1]}\s*+>\Z", m[0], re.I):
+        return
+    rest = page[last:]
+    left_open = UNCLOSED.search(rest)
+    if text := rest[: left_open.start()] if left_open else rest:
+        yield re.compile(".+", re.S).match(text)
+
+
 def parse(page: str):
     """Tokens in page order: (is tag, key text, path hash, block number, skipped, in an article, text).
 
     The block number grows at every block element's edge; text of one number is one block.
     """
     out, stack, block = [], [], 0  # stack: (name, path hash, skipped, in an article)
+    held: Counter[str] = Counter()  # names on the stack, so it is not searched for what it does not hold
+
+    def close(at: int) -> None:
+        held.subtract(x[0] for x in stack[at:])
+        del stack[at:]
+
     path, skipped, inside = 0, False, False
-    for m in TOKEN.finditer(page):
-        if m[3] or m[6]:
+    for m in matches(page):
+        if m.re is TOKEN and (m[3] or m[6]):
             closing, name, attributes = (m[2], m[3].lower(), m[4]) if m[3] else (m[5], m[6].lower(), m[7])
             if name in BLOCKS:
                 block += 1
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
+                for i in range(len(stack) - 1, -1, -1) if held[name] else ():
                     if stack[i][0] == name:
-                        del stack[i:]
+                        close(i)
                         break
                     if stack[i][0] in HOLDS and name not in HOLDS:
                         break  # the end tag of something outside this container
             else:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in CLOSES.get(name, ()):
-                        del stack[i:]
+                for i in range(len(stack) - 1, -1, -1) if any(held[c] for c in CLOSES.get(name, ())) else ():
+                    if stack[i][0] in CLOSES[name]:
+                        close(i)
                         break
                     if stack[i][0] in HOLDS:
                         break
@@ -104,9 +133,10 @@ def parse(page: str):
                             or (not inner and (name == "header" or bool(words & HEADERS))))
                     if name in ("html", "body", "article", "main") and not hidden:
                         drop = skipped  # (a page's body may be called anything)
+                    held[name] += 1
                     stack.append((name, hash_text(f"{path} {name} {signature}"), drop, inner))
             path, skipped, inside = stack[-1][1:] if stack else (0, False, False)
-        elif m[0][0] != "<" or m[0] == "<":
+        elif m[0][0] != "<" or m[0] == "<" or m.re is not TOKEN:
             out.append((False, "", path, block, skipped, inside, m[0]))
     return out
 
@@ -170,7 +200,8 @@ def templates(pages: DataFrame) -> DataFrame:
     """
     once = pages.groupBy("host", F.xxhash64("html").alias("same")).agg(F.min("rid").alias("rid"))
     sizes = once.groupBy("host").agg(F.count("*").alias("host_pages")).filter(F.col("host_pages") >= FREQUENT)
-    different = pages.join(once.select("rid"), "rid", "left_semi")
+    first = save_table(once.select("rid"), "template-pages")
+    different = pages.join(F.broadcast(first) if first.count() <= BROADCAST_IDS else first, "rid", "left_semi")
     tokens = different.select("rid", "host", "html").mapInArrow(
         _occurrences, "host string, key long, tag long, pages long, vector long, place long")
     tokens = tokens.groupBy("host", "key").agg(
@@ -232,6 +263,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"),
         F.monotonically_increasing_id().alias("rid"))
-    joined = rows.join(templates(rows), "host", "left")
+    known = save_table(templates(rows), "templates")
+    size = known.agg(F.sum(F.aggregate("template", F.lit(0).cast("long"), lambda n, c: n + 1 + F.size(c)))).first()[0] or 0
+    joined = rows.join(F.broadcast(known) if size <= BROADCAST_TOKENS else known, "host", "left")
     return joined.select("page_id", "url", "html", "template").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long")
