@@ -10,6 +10,7 @@ from tidemark.functions.json_text import json_field, json_fields
 from tidemark.operators import filters as flt
 from tidemark.operators.aggregates import dedup
 from tidemark.operators.joins import hydrate
+from tidemark.operators.paging import covered_ranges, not_covered, publish_batches, range_gaps
 from tidemark.operators.ranking import apply_scores
 from tidemark.operators.recency import reuse_distance
 from tidemark.sources.topics import incremental_since, json_topic, match_topics
@@ -324,3 +325,43 @@ def _(t):
     keep = (F.col("o_orderstatus") == "F") | F.col("o_orderpriority").like("%URGENT%")
     keep = keep & (F.col("o_totalprice") >= 1000) & ~F.col("o_orderstatus").isin("P") & F.col("o_custkey").isNotNull()
     return t.orders.where(keep).select("o_orderkey")
+
+
+def loaded(t):
+    """Ranges that earlier runs covered: of every third page of 1,000 order keys, and every fifth of 700, what they hold."""
+    pages = [t.orders.groupBy(F.floor(F.col("o_orderkey") / size).alias("page")).agg(
+        F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).where(F.col("page") % every == 0) for size, every in ((1000, 3), (700, 5))]
+    return append_into(*pages).select("low", "high")
+
+
+LOADED_SQL = """WITH r AS (
+    SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY o_orderkey // 1000 HAVING o_orderkey // 1000 % 3 = 0
+    UNION ALL SELECT min(o_orderkey), max(o_orderkey) FROM orders GROUP BY o_orderkey // 700 HAVING o_orderkey // 700 % 5 = 0)"""
+
+
+@query("src_incremental_gaps", LOADED_SQL + """
+    SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM r WHERE o_orderkey BETWEEN low AND high)""")
+def _(t):
+    return not_covered(t.orders.select("o_orderkey", "o_custkey"), loaded(t), "o_orderkey")
+
+
+# Islands by points: a cursor starts one if it is covered and its forerunner is not.
+@query("src_covered_ranges", LOADED_SQL + """,
+    p AS (SELECT DISTINCT unnest(range(low, high + 1)) AS c FROM r),
+    i AS (SELECT c, c - row_number() OVER (ORDER BY c) AS island FROM p),
+    covered AS (SELECT min(c) AS low, max(c) AS high FROM i GROUP BY island)
+    SELECT 'covered' AS kind, low, high FROM covered UNION ALL
+    SELECT 'gap', last + 1, low - 1 FROM (SELECT low, lag(high) OVER (ORDER BY low) AS last FROM covered) WHERE last IS NOT NULL""")
+def _(t):
+    ranges = loaded(t)
+    return append_into(covered_ranges(ranges).select(F.lit("covered").alias("kind"), "low", "high"),
+                       range_gaps(ranges).select(F.lit("gap").alias("kind"), "low", "high"))
+
+
+@query("snk_batches", """
+    SELECT event_id, (n - 1) // 100 + (greatest(b, 1) - 1) // (2000 - greatest(largest, 1) + 1) AS batch FROM (
+      SELECT event_id, row_number() OVER (ORDER BY event_id) AS n, CAST(sum(strlen(props)) OVER (ORDER BY event_id) AS BIGINT) AS b,
+             max(strlen(props)) OVER () AS largest FROM events)""")
+def _(t):
+    rows = t.events.select("event_id", F.octet_length("props").alias("size"))
+    return publish_batches(rows, "event_id", "size", 100, 2000).select("event_id", "batch")
