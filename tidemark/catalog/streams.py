@@ -14,7 +14,7 @@ from tidemark.catalog.rows import DEDUP_HORIZON_SQL, cents
 from tidemark.catalog.tables import CHANGELOG_SQL, MONOTONE_SQL
 from tidemark.operators.filters import of_type
 from tidemark.session import shared_folder
-from tidemark.streaming import batches, complete, sinks, stateful
+from tidemark.streaming import batches, boards, complete, sinks, stateful
 
 
 def drained(t, df: DataFrame) -> DataFrame:
@@ -119,6 +119,20 @@ def _(t):
     return sinks.scores_now(t.spark, f"{folder}/rows", "board", "member", "score")
 
 
+@query("st_leaderboard", """
+    WITH s AS (SELECT o_orderpriority AS board, o_custkey AS member, arg_max(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE
+               CAST(round(o_totalprice * 100) AS BIGINT) END, o_orderkey) AS score FROM orders GROUP BY ALL)
+    SELECT board, member, score, row_number() OVER (PARTITION BY board ORDER BY score DESC, member DESC) AS rank
+    FROM s WHERE score <> 0""")
+def _(t):
+    score = F.when(F.col("o_orderstatus") == "F", F.lit(0).cast("bigint")).otherwise(cents("o_totalprice"))
+    rows = t.orders.select(F.col("o_orderpriority").alias("board"), F.col("o_custkey").alias("member"), score.alias("score"), "o_orderkey")
+    folder = f"{shared_folder(t.spark)}/board-{uuid.uuid4().hex}"
+    board = boards.Board(folder, "board", "member", "score", capacity=5_000)
+    sinks.drain(boards.keep_board(in_order(t, rows, "o_orderkey"), board, f"{folder}/progress", "o_orderkey"))
+    return board.ranks(t.spark)
+
+
 @query("st_first_seen", "SELECT DISTINCT user_id FROM events WHERE event_type = 'error'")
 def _(t):
     errors = of_type(t.stream("events"), "error", "event_type").select("user_id")

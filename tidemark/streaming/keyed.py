@@ -58,12 +58,14 @@ class KeyedTable:
         return spark.read.parquet(*paths) if paths else None
 
     def replace(self, rows: DataFrame, batch: int, buckets: Sequence[int]) -> None:
-        """``rows`` are from now on all rows of ``buckets``."""
+        """``rows`` are from now on all rows of ``buckets``; a bucket may become empty."""
         spark = rows.sparkSession
         if buckets:
             dealt = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
             dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={batch}")
-        versions = self.versions(spark, batch)[1] | dict.fromkeys(buckets, batch)
+        folders = {f"{self.path}/data/version={batch}/bucket={b}": b for b in buckets}
+        filled = [folders[p] for p in existing(spark, list(folders))]
+        versions = {b: v for b, v in self.versions(spark, batch)[1].items() if b not in buckets} | dict.fromkeys(filled, batch)
         manifest = spark.createDataFrame([(batch, -1, -1), *((batch, b, v) for b, v in versions.items())], "batch long, bucket int, version long")
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest-{batch % 2}")
 
