@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.binary import decode_all, encode_all, from_base58, hex_to_base58, read_value, to_base58
 from tidemark.operators import extract as ex
 from tidemark.plans import dictionaries as fixed
+from tidemark.plans import ledger
 
 # Golden pairs: zero-stripped hex keys and their base58 texts.
 KEYS = {
@@ -170,3 +171,43 @@ def test_json_pieces():
     pieces, tail = ex.json_pieces(["a", "g.b", "g.h.c", "k.d", "e"])
     assert json.loads("".join(p + "1" for p in pieces) + tail) == {"a": 1, "g": {"b": 1, "h": {"c": 1}}, "k": {"d": 1}, "e": 1}
     assert ex.json_pieces([]) == ([], "{}")
+
+
+def both_forms(txns, idls=()):
+    commands = fixed.opcode_commands() + [c for idl in idls for c in fixed.idl_commands(idl)]
+    apart = ex.build_events(txns, [ex.balance_changes, lambda t: ex.instruction_events(t, commands)])
+    return ledger.event_stream(txns, idls), apart
+
+
+def test_one_pass_equals_one_extractor_at_a_time(spark, rows):
+    rng = random.Random(5)
+    amounts = [None, "0", "7", "8"]
+
+    def some(n):
+        return [balance(rng.randrange(8), rng.choice(amounts)) for _ in range(rng.randrange(n))]
+
+    def some_ix():
+        return ix(rng.choices(range(8), k=rng.randrange(5)), rng.choice(["2", "", CURVE_DATA, "!", None]), rng.randrange(8))
+
+    records = [record([some_ix() for _ in range(rng.randrange(4))],
+                      [{"index": rng.randrange(3), "instructions": [some_ix() for _ in range(rng.randrange(3))]}
+                       for _ in range(rng.randrange(3))], some(4), some(4), slot=i,
+                      keys=rng.choice([None, None, [PAYER, fixed.TOKEN_PROGRAM, PAYER], [PAYER], []])) for i in range(150)]
+    for r in records[:40]:
+        r["meta"][rng.choice(["innerInstructions", "preTokenBalances", "postTokenBalances"])] = None
+    records[0]["transaction"]["message"]["accountKeys"] = records[1]["transaction"]["message"]["instructions"] = None
+    records[2]["meta"]["err"], records[3]["transaction"] = "x", None
+    once, apart = both_forms(transactions(spark, *records), [CURVE_IDL])
+    got = rows(once)
+    assert got == rows(apart) and {r[0] for r in got} >= {"TokenAccountBalanceChange", "InitializeTokenAccount", "createCurveV0"}
+
+
+def test_one_scan_for_all_extractors_and_a_further_one(spark, tmp_path):
+    transactions(spark, record([ix([1, 0, 2], "2", 3)], post=[balance(1, "7")]), record([], slot=8)).write.parquet(f"{tmp_path}/t")
+    txns = spark.read.parquet(f"{tmp_path}/t")
+    slots = F.array(ex.finished(F.lit("Slot"), F.concat(F.lit('{"n":'), F.col("slot").cast("string"), F.lit("}"))))
+    events = ledger.event_stream(txns, more=[slots])
+    text = events._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Generate") == 1 and "Exchange hashpartitioning" not in text
+    assert sorted((r.type, r.slot) for r in events.collect()) == [
+        ("InitializeTokenAccount", 7), ("Slot", 7), ("Slot", 8), ("TokenAccountBalanceChange", 7)]

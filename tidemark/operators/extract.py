@@ -30,12 +30,8 @@ KEYS = "transaction.message.accountKeys"
 Extractor = Callable[[DataFrame], DataFrame]
 
 
-def explode_two_levels(df: DataFrame, outer: Column, groups: Column, keep: Iterable[str | Column]) -> DataFrame:
-    """One row per inner and outer item of a record: (instructionIndex, innerIndex, item).
-
-    Inner items come first and carry their place inside the group as ``instructionIndex`` and the outer place
-    as ``innerIndex`` (the names are swapped on purpose: consumers expect it); outer items have no ``innerIndex``.
-    """
+def two_level_rows(outer: Column, groups: Column) -> Column:
+    """The rows of :func:`explode_two_levels` as an array."""
     def place(index: Column, inner: Column, item: Column) -> Column:
         return F.struct(index.cast("int").alias("instructionIndex"), inner.cast("int").alias("innerIndex"),
                         item.alias("item"))
@@ -45,7 +41,16 @@ def explode_two_levels(df: DataFrame, outer: Column, groups: Column, keep: Itera
         groups, lambda g: F.transform(g["instructions"], lambda item, i: place(i, g["index"], item))
     ))
     outside = F.transform(outer, lambda item, i: place(i, nothing, item))
-    rows = F.when(inside.isNull(), outside).otherwise(F.concat(inside, outside))
+    return F.when(inside.isNull(), outside).otherwise(F.concat(inside, outside))
+
+
+def explode_two_levels(df: DataFrame, outer: Column, groups: Column, keep: Iterable[str | Column]) -> DataFrame:
+    """One row per inner and outer item of a record: (instructionIndex, innerIndex, item).
+
+    Inner items come first and carry their place inside the group as ``instructionIndex`` and the outer place
+    as ``innerIndex`` (the names are swapped on purpose: consumers expect it); outer items have no ``innerIndex``.
+    """
+    rows = two_level_rows(outer, groups)
     # Shaped before the explode, so each exploded row carries the kept columns and not the whole record.  The outer
     # form keeps the optimizer from testing the array's size in a filter, which would build the array twice.
     shaped = df.select(*keep, rows.alias("__rows"))
@@ -102,6 +107,22 @@ def decode_args(instructions: DataFrame, commands: list[dict]) -> DataFrame:
     return named.select(*instructions.columns, "__decoded.type", "__decoded.data")
 
 
+def _named_payload(data: Column) -> tuple[Column, Column]:
+    """Payload of an instruction beside its command's row, and whether an account points outside the key list."""
+    indexes = F.slice("item.accounts", F.lit(1), F.size("pieces"))
+    outside = F.exists(indexes, lambda i: (i >= F.size("keys")) | (i < 0))
+    pubkeys = F.transform(indexes, lambda i: F.concat(F.lit('"'), F.get("keys", i), F.lit('"')))
+    fields = F.zip_with("pieces", pubkeys, lambda piece, key: F.concat(piece, F.coalesce(key, F.lit("null"))))
+    accounts = F.concat(F.array_join(fields, ""), F.col("tail"))
+    payload = F.concat(
+        F.lit("{"), F.coalesce(F.concat(F.lit('"data":'), data, F.lit(",")), F.lit("")),
+        F.lit('"accounts":'), accounts, F.lit(',"programId":"'), F.col("programId"),
+        F.lit('","instructionIndex":'), F.col("instructionIndex").cast("string"),
+        F.lit(',"innerIndex":'), F.coalesce(F.col("innerIndex").cast("string"), F.lit("null")), F.lit("}"),
+    )
+    return payload, outside
+
+
 def instruction_events(txns: DataFrame, commands: list[dict]) -> DataFrame:
     """Typed events of all known commands: accounts named by position, arguments decoded.
 
@@ -113,64 +134,137 @@ def instruction_events(txns: DataFrame, commands: list[dict]) -> DataFrame:
     decoded = decode_args(explode_instructions(wanted, kept), commands)
     # The command table is built from literals, so its size does not depend on the data.
     rows = decoded.join(F.broadcast(command_table(txns.sparkSession, commands)), ["programId", "type"])
-    indexes = F.slice("item.accounts", F.lit(1), F.size("pieces"))
-    outside = F.exists(indexes, lambda i: (i >= F.size("keys")) | (i < 0))
-    pubkeys = F.transform(indexes, lambda i: F.concat(F.lit('"'), F.get("keys", i), F.lit('"')))
-    fields = F.zip_with("pieces", pubkeys, lambda piece, key: F.concat(piece, F.coalesce(key, F.lit("null"))))
-    accounts = F.concat(F.array_join(fields, ""), F.col("tail"))
-    payload = F.concat(
-        F.lit("{"), F.coalesce(F.concat(F.lit('"data":'), F.col("data"), F.lit(",")), F.lit("")),
-        F.lit('"accounts":'), accounts, F.lit(',"programId":"'), F.col("programId"),
-        F.lit('","instructionIndex":'), F.col("instructionIndex").cast("string"),
-        F.lit(',"innerIndex":'), F.coalesce(F.col("innerIndex").cast("string"), F.lit("null")), F.lit("}"),
-    )
+    payload, outside = _named_payload(F.col("data"))
     return rows.where(~(F.col("strict") & outside)).select(
         "type", "slot", "blockTime", "recentBlockhash", payload.alias("payload")
     )
 
 
+def _listed_balances(name: str) -> Column:
+    entries = F.transform(F.col(f"meta.{name}"), lambda b: F.struct(
+        F.get(F.col(KEYS), b["accountIndex"]).alias("pubkey"), b["mint"].alias("mint"),
+        b["uiTokenAmount"]["amount"].alias("amount"), b["uiTokenAmount"]["decimals"].alias("decimals"),
+    ))
+    return F.coalesce(entries, F.array().cast(
+        "array<struct<pubkey:string,mint:string,amount:string,decimals:int>>"))
+
+
+def _last_of(side: Column, pubkey: Column) -> Column:
+    return F.try_element_at(F.filter(side, lambda e: e["pubkey"] == pubkey), F.lit(-1))
+
+
+def _balance_payload(pubkey: Column, pre: Column, post: Column) -> Column:
+    return F.to_json(F.struct(
+        pubkey.alias("pubkey"), F.coalesce(pre["amount"], F.lit("0")).alias("preAmount"),
+        F.coalesce(pre["mint"], post["mint"]).alias("mint"), post["amount"].alias("postAmount"),
+        F.coalesce(pre["decimals"], post["decimals"]).alias("decimals"),
+    ), {"ignoreNullFields": "false"})
+
+
 def balance_changes(txns: DataFrame) -> DataFrame:
     """One ``TokenAccountBalanceChange`` event per account whose token balance a transaction changed.
 
     Balances before and after are matched by account inside the row; the last entry per account wins.  An
     account without a balance before starts at 0 and always counts as changed, a closed one ends at null.
     """
-    def listed(name: str) -> Column:
-        entries = F.transform(F.col(f"meta.{name}"), lambda b: F.struct(
-            F.get(F.col(KEYS), b["accountIndex"]).alias("pubkey"), b["mint"].alias("mint"),
-            b["uiTokenAmount"]["amount"].alias("amount"), b["uiTokenAmount"]["decimals"].alias("decimals"),
-        ))
-        return F.coalesce(entries, F.array().cast(
-            "array<struct<pubkey:string,mint:string,amount:string,decimals:int>>"))
-
-    def last_of(side: str, pubkey: Column) -> Column:
-        return F.try_element_at(F.filter(side, lambda e: e["pubkey"] == pubkey), F.lit(-1))
-
     accounts = F.array_distinct(F.concat(
         F.transform("__pre", lambda e: e["pubkey"]), F.transform("__post", lambda e: e["pubkey"])
     ))
     pairs = F.transform(accounts, lambda k: F.struct(
-        k.alias("pubkey"), last_of("__pre", k).alias("pre"), last_of("__post", k).alias("post")
+        k.alias("pubkey"), _last_of(F.col("__pre"), k).alias("pre"), _last_of(F.col("__post"), k).alias("post")
     ))
     rows = (
         relevant(txns, KEYS, [TOKEN_PROGRAM])
-        .withColumns({"__pre": listed("preTokenBalances"), "__post": listed("postTokenBalances")})
+        .withColumns({"__pre": _listed_balances("preTokenBalances"), "__post": _listed_balances("postTokenBalances")})
         .select("slot", "blockTime", F.col("transaction.message.recentBlockhash").alias("recentBlockhash"),
                 pairs.alias("__pairs"))
         .select("slot", "blockTime", "recentBlockhash", F.inline_outer("__pairs"))
         .where(F.col("pubkey").isNotNull() & ~F.col("pre.amount").eqNullSafe(F.col("post.amount")))
     )
-    payload = F.to_json(F.struct(
-        "pubkey", F.coalesce("pre.amount", F.lit("0")).alias("preAmount"),
-        F.coalesce("pre.mint", "post.mint").alias("mint"), F.col("post.amount").alias("postAmount"),
-        F.coalesce("pre.decimals", "post.decimals").alias("decimals"),
-    ), {"ignoreNullFields": "false"})
+    payload = _balance_payload(F.col("pubkey"), F.col("pre"), F.col("post"))
     return rows.select(
         F.lit("TokenAccountBalanceChange").alias("type"), "slot", "blockTime", "recentBlockhash",
         payload.alias("payload"),
     )
 
 
+#: What an extractor finds in a transaction: finished events (``type``, ``payload``), or instructions still to be decoded.
+FOUND = (
+    "array<struct<type:string,payload:string,programId:string,instructionIndex:int,innerIndex:int,"
+    "item:struct<accounts:array<int>,data:string,programIdIndex:int>>>"
+)
+
+
+def nothing_found() -> Column:
+    return F.array().cast(FOUND)
+
+
+def _with_key(wanted: Iterable[str], found: Column) -> Column:
+    """``found`` in transactions that list a wanted key."""
+    listed = F.arrays_overlap(F.col(KEYS), F.array(*[F.lit(w) for w in wanted]))
+    return F.when(listed, F.coalesce(found.cast(FOUND), nothing_found())).otherwise(nothing_found())
+
+
+def finished(kind: Column, payload: Column) -> Column:
+    """A finished event as an element of :data:`FOUND`."""
+    empty = F.lit(None)
+    return F.struct(kind.alias("type"), payload.alias("payload"), empty.cast("string").alias("programId"),
+                    empty.cast("int").alias("instructionIndex"), empty.cast("int").alias("innerIndex"),
+                    empty.cast("struct<accounts:array<int>,data:string,programIdIndex:int>").alias("item"))
+
+
+def balance_array() -> Column:
+    """The events of :func:`balance_changes` of one transaction as an array."""
+    pre, post = _listed_balances("preTokenBalances"), _listed_balances("postTokenBalances")
+
+    def changes(sides: Column) -> Column:
+        accounts = F.array_distinct(F.transform(F.concat(sides["pre"], sides["post"]), lambda e: e["pubkey"]))
+        pairs = F.transform(F.filter(accounts, lambda k: k.isNotNull()), lambda k: F.struct(
+            k.alias("pubkey"), _last_of(sides["pre"], k).alias("pre"), _last_of(sides["post"], k).alias("post")))
+        changed = F.filter(pairs, lambda p: ~p["pre"]["amount"].eqNullSafe(p["post"]["amount"]))
+        return F.transform(changed, lambda p: finished(
+            F.lit("TokenAccountBalanceChange"), _balance_payload(p["pubkey"], p["pre"], p["post"])))
+
+    # The outer array of one binds both lists, so that they are built once and not once per account.
+    bound = F.array(F.struct(pre.alias("pre"), post.alias("post")))
+    return _with_key([TOKEN_PROGRAM], F.get(F.transform(bound, changes), 0))
+
+
+def instruction_array(programs: Iterable[str]) -> Column:
+    """The instructions of these programs in one transaction, inner and outer, as an array."""
+    programs = sorted(programs)
+    rows = two_level_rows(F.col("transaction.message.instructions"), F.col("meta.innerInstructions"))
+
+    def found(row: Column) -> Column:
+        return F.struct(F.lit(None).cast("string").alias("type"), F.lit(None).cast("string").alias("payload"),
+                        F.get(F.col(KEYS), row["item"]["programIdIndex"]).alias("programId"),
+                        row["instructionIndex"], row["innerIndex"], row["item"])
+
+    return _with_key(programs, F.filter(F.transform(rows, found), lambda r: r["programId"].isin(programs)))
+
+
+def extract_once(txns: DataFrame, arrays: Iterable[Column], commands: list[dict]) -> DataFrame:
+    """Events of many extractors in one pass over complete, successful transactions: columns of the event stream.
+
+    Every extractor is an array of :data:`FOUND` computed inside the row; all arrays are concatenated and exploded once, so the
+    transactions are read once however many extractors there are, and of the instructions only those of known programs leave
+    the row.  The decoder sees the elements that are instructions of ``commands``; finished events pass it by.
+    """
+    good = succeeded(has_body(txns, "transaction"))
+    head = ["slot", "blockTime", F.col("transaction.message.recentBlockhash").alias("recentBlockhash"), F.col(KEYS).alias("keys")]
+    shaped = good.select(*head, F.concat(nothing_found(), *arrays).alias("__found"))
+    rows = shaped.select(*shaped.columns[:-1], F.inline_outer("__found")).where("type IS NOT NULL OR programId IS NOT NULL")
+    rows = rows.withColumn("__decoded", decode_instruction(F.col("programId"), F.col("item.data"), commands))
+    table = command_table(txns.sparkSession, commands).withColumnsRenamed({"programId": "__program", "type": "__command"})
+    # The command table is built from literals, so its size does not depend on the data.
+    known = rows.join(F.broadcast(table), (F.col("programId") == F.col("__program")) & (F.col("__decoded.type") == F.col("__command")), "left")
+    payload, outside = _named_payload(F.col("__decoded.data"))
+    refused = F.coalesce(F.col("strict") & outside, F.lit(False))
+    kept = known.where((F.col("type").isNotNull() | F.col("__command").isNotNull()) & ~refused)
+    return kept.select(F.coalesce("type", "__command").alias("type"), "slot", "blockTime", F.lit(None).cast("string").alias("blockhash"),
+                       "recentBlockhash", F.when(F.col("type").isNull(), payload).otherwise(F.col("payload")).alias("payload"))
+
+
 def build_events(txns: DataFrame, extractors: Iterable[Extractor]) -> DataFrame:
     """Events of all extractors over complete, successful transactions: columns of the event stream."""
     good = succeeded(has_body(txns, "transaction"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import dedup
-from tidemark.operators.extract import TRANSACTION, Extractor, balance_changes, build_events, instruction_events
+from tidemark.operators.extract import (
+    TRANSACTION, Extractor, balance_array, balance_changes, extract_once, instruction_array, instruction_events,
+)
 from tidemark.operators.filters import MAX_RECORD_BYTES, has_body
 from tidemark.operators.joins import hydrate
 from tidemark.plans import dictionaries as fixed
@@ -41,6 +43,11 @@ def fetch_transactions(
     return found.select(on, F.from_json(value, TRANSACTION).alias("__t")).select(on, "__t.*")
 
 
-def event_stream(txns: DataFrame, interfaces: Iterable[dict] = ()) -> DataFrame:
-    """All events of complete, successful transactions."""
-    return build_events(txns, extractors(interfaces).values())
+def event_stream(txns: DataFrame, interfaces: Iterable[dict] = (), more: Iterable[Column] = ()) -> DataFrame:
+    """All events of complete, successful transactions, found in one pass.
+
+    ``more`` are further extractors: arrays of :data:`tidemark.operators.extract.FOUND` computed inside the row.
+    """
+    commands = fixed.opcode_commands() + [c for idl in interfaces for c in fixed.idl_commands(idl)]
+    programs = {c["programId"] for c in commands}
+    return extract_once(txns, [balance_array(), instruction_array(programs), *more], commands)
