@@ -211,6 +211,15 @@ def _(t):
     return flt.relevant_ids(t.lineitem, "l_orderkey", "l_partkey", wanted)
 
 
+@query("flt_relevant_rows", """
+    SELECT l_orderkey, len(list(l_partkey)) AS n_keys FROM lineitem GROUP BY l_orderkey
+    HAVING bool_or(l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 2))""")
+def _(t):
+    orders = t.lineitem.groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("keys"))
+    wanted = t.part.where(F.col("p_size") <= 2).select("p_partkey")
+    return flt.relevant_rows(orders, "l_orderkey", "keys", wanted).select("l_orderkey", F.size("keys").alias("n_keys"))
+
+
 @query("flt_relevant_array", """
     SELECT page_id FROM pages WHERE list_has_any(string_split(url, '/'), ['fr', 'en', 'blog', 'news', '1', '2'])""")
 def _(t):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +93,61 @@ def relevant_ids(pairs: DataFrame, id_column: str, key: str, wanted: Iterable |
     return hits.select(id_column).distinct()
 
 
+#: A wanted set of up to so many keys becomes a Bloom filter (BITS_PER_KEY bits each, at most 8 MB in all) that every task holds.
+FILTER_KEYS = 4_000_000
+BITS_PER_KEY, PROBES = 16, 4
+
+
+def _probes(key: Column, words: int) -> list[tuple[Column, Column]]:
+    """(word, bit) of each probe of a key: double hashing of one 64-bit hash."""
+    h = F.xxhash64(key)
+    low, step = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    places = [F.pmod(low + step * i, F.lit(words * 64)) for i in range(PROBES)]
+    return [(F.shiftright(p, 6).cast("int"), p.bitwiseAND(F.lit(63)).cast("int")) for p in places]
+
+
+def key_filter(wanted: DataFrame, n_keys: int) -> tuple[Column, int]:
+    """A Bloom filter of the one column of ``wanted``: an array of 64-bit words as a scalar subquery, and how many words.
+
+    Bits are set by a grouped OR, so the keys never meet in one task; the words do, 2 bytes a key.
+    """
+    words = max(1, -(-n_keys * BITS_PER_KEY // 64))
+    key = F.col(wanted.columns[0])
+    spots = F.array(*[F.struct(w.alias("word"), F.expr("bigint(1)").alias("one"), b.alias("bit")) for w, b in _probes(key, words)])
+    set_bits = wanted.select(F.inline(spots)).select("word", F.call_function("shiftleft", F.col("one"), F.col("bit")).alias("bits"))
+    filled = set_bits.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    every = wanted.sparkSession.range(words).select(F.col("id").cast("int").alias("word")).join(filled, "word", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
+    return every.agg(ordered["bits"].alias("words")).scalar(), words
+
+
+def maybe_listed(key: Column, bits: Column, words: int) -> Column:
+    """False for keys that are surely not in the filter ``bits``; about one of 400 others passes."""
+    return reduce(and_, [F.getbit(F.get(bits, word), bit) == 1 for word, bit in _probes(key, words)])
+
+
+def relevant_rows(df: DataFrame, id_column: str, keys: str, wanted: DataFrame, filter_keys: int = FILTER_KEYS) -> DataFrame:
+    """Rows whose key array contains a key of the table ``wanted`` (one column), however large that is.
+
+    Up to ``filter_keys`` wanted keys (counted by a job) a Bloom filter is tested inside the arrays, before anything is exploded,
+    and only keys that may be wanted go on to the exact semi-join; beyond that all keys do.  ``id_column`` tells rows apart.  A
+    NULL key or array, and an empty array, contain nothing; NULLs in ``wanted`` are not wanted.
+    """
+    listed = wanted.select(F.col(wanted.columns[0]).alias("__wanted")).where("__wanted IS NOT NULL").distinct()
+    n_keys = listed.count()
+    rows = df.where(F.size(keys) > 0)
+    hits = F.col(keys)
+    if n_keys <= filter_keys:
+        element = df.schema[keys].dataType.elementType
+        bits, words = key_filter(listed.select(F.col("__wanted").cast(element)), n_keys)
+        may = lambda k: maybe_listed(k, F.col("__bits"), words)
+        rows = rows.withColumn("__bits", bits).where(F.exists(keys, may))
+        hits = F.filter(keys, may)
+    pairs = rows.select(id_column, F.explode(F.array_distinct(hits)).alias("__key"))
+    exact = pairs.join(listed, F.col("__key") == F.col("__wanted"), "left_semi").select(id_column).distinct()
+    return rows.select(*df.columns).join(exact, id_column, "left_semi")
+
+
 def not_self(df: DataFrame, column: str, me) -> DataFrame:
     """Drop rows sent by ``me``; rows without a sender stay."""
     return df.where(~F.col(column).eqNullSafe(F.lit(me)))
