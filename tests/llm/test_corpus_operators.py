@@ -205,13 +205,13 @@ def test_signature_is_weighted_jaccard():
 def test_decontamination(spark, nothing):
     item = "If a train leaves Boston at 40 km per hour and another leaves Denver at 60 km per hour when do they meet in Boston"
     asked = "Before. So if a train leaves Paris at 45 km per hour and another leaves Lyon at 70 km per hour when do they meet in Paris ok"
-    mixed = asked.replace("meet in Paris", "meet in Rome")  # one name for two: not the same question
+    mixed = asked.replace("meet in Paris", "meet in Rome")  # one name for two, but 24 tokens before it are the question
     benchmark = spark.createDataFrame([(7, item), (8, None), (9, "too short"), (7, item)], "item_id int, text string")
     docs = spark.createDataFrame([(1, "x " * 50 + item), (2, asked), (3, mixed), (4, "nothing of it"), (5, None), (2, asked)], "doc_id long, text string")
     got = sorted((r.doc_id, r.contaminated, r.n_items, tuple(r["items"])) for r in decontam.contamination_report(docs, benchmark).collect())
     hit, no = (True, 1, (7,)), (False, 0, ())
-    assert got == [(1, *hit), (2, *hit), (2, *hit), (3, *no), (4, *no), (5, *no)]
-    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()) == [3, 4, 5]
+    assert got == [(1, *hit), (2, *hit), (2, *hit), (3, *hit), (4, *no), (5, *no)]
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()) == [4, 5]
     assert decontam.contamination_report(nothing, benchmark).count() == 0
     assert decontam.contamination_report(docs, benchmark.limit(0)).filter("contaminated").count() == 0
 
@@ -240,6 +240,61 @@ def test_decontamination_of_an_altered_copy(spark):
     assert found_items(spark, [passage], [passage, altered, "so " + altered.lower()]) == [(0,), (0,), (0,)]
 
 
+def test_decontamination_judges_every_stretch(spark):
+    """Unrelated fillings of one shape are clean; a late slip or capitals of another script change nothing."""
+    item = "If a train leaves Boston at 40 km per hour and one leaves Denver for Boston at 40 km per hour who wins"
+    asked = item.replace("Boston", "Ulm").replace("Denver", "Bonn").replace("40", "55")
+    short = "first Ann saw the old mill and Ann saw Bob there with joy"  # 13 tokens: one stretch
+    again, other = short.replace("Ann", "Dee"), short.replace("Ann", "Dee", 1)
+    accents = asked.replace("Ulm", "\u00d6rebro").replace("Bonn", "\u00c9mile")
+    texts = ["so, " + asked, "so, " + accents, "so, " + item.upper(), "so, " + again, "so, " + other]
+    assert found_items(spark, [item, short], texts) == [(0,), (0,), (0,), (1,), ()]
+    cyrillic = "\u041f\u043e\u0447\u0435\u043c\u0443 \u0441\u043d\u0435\u0433 \u0431\u0435\u043b\u044b\u0439"
+    assert found_items(spark, [cyrillic], ["x, " + cyrillic.upper(), cyrillic[1:]]) == [(0,), ()]
+
+
+def test_decontamination_equals_brute_force(spark):
+    """Random passages, altered at random, against the rule spelled out token by token."""
+    import random
+
+    rng = random.Random(11)
+    words = [f"w{c}" for c in "abcdefghijklmnop"]  # letters only
+
+    def brute(text, item):
+        a, b = text.split(), item.split()
+        is_name = lambda t: t[0].isupper()
+        low = lambda t: t.lower()
+        need = min(13, len(b))
+        for i in range(len(a) - need + 1):
+            for j in range(len(b) - need + 1):
+                x, y = a[i : i + need], b[j : j + need]
+                if [low(t) for t in x] == [low(t) for t in y]:
+                    return True
+                if need < 8 or [is_name(t) for t in x] != [is_name(t) for t in y]:
+                    continue
+                if any(not is_name(s) and s != t for s, t in zip(x, y, strict=True)):
+                    continue
+                if any(sum(map(is_name, x[k : k + 8])) > 3 for k in range(need - 7)):
+                    continue
+                pairs = {(low(s), low(t)) for s, t in zip(x, y, strict=True) if is_name(s)}
+                if len({s for s, _ in pairs}) == len({t for _, t in pairs}) == len(pairs):
+                    return True
+        return False
+
+    names = ["Ann", "Bob", "Cy", "Dee"]
+    some = lambda n: ["x", *[rng.choice(names) if rng.random() < 0.2 else rng.choice(words) for _ in range(n)]]
+    items = [" ".join(some(rng.choice([5, 9, 14, 20]))) for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        parts = rng.choice(items).split()
+        swap = dict(zip(names, rng.sample(names, 4), strict=True))
+        parts = [swap.get(t, t) if rng.random() < 0.93 else rng.choice(names if t in names else words) for t in parts]
+        lead = [w for w in some(4)]
+        texts.append(" ".join(lead + parts + some(3)[1:]))
+    want = [tuple(i for i, item in enumerate(items) if brute(t, item)) for t in texts]
+    assert found_items(spark, items, texts) == want and sum(map(bool, want)) > 20
+
+
 def test_decontamination_without_filter(spark, monkeypatch, docs):
     benchmark = spark.createDataFrame([(1, (docs.filter("doc_id = 900006").first().text or "")[:400]), (2, ODD[0][1])], "item_id int, text string")
     small = counted(decontam.contamination_report(docs, benchmark).withColumn("items", F.concat_ws(",", "items")))

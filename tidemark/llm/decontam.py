@@ -2,11 +2,12 @@
 
 Texts are read as tokens: runs of letters, and numbers.  Numbers, names (capitalised words inside a sentence) and units
 (after a number) become typed placeholders; the rest is lower-cased.  Windows of WINDOW canonical tokens are hash-joined with
-those of the benchmark.  Windows that match along one alignment form runs; a run long enough is a hit if its slots are
-consistent: equal benchmark values stand for equal values in the document and different ones for different ones, so a
-question asked again with other numbers or names is found, and a text of the same shape with unrelated fillings is not.
+those of the benchmark.  RUN tokens in a row (or a whole shorter item) whose windows all match along one alignment are a hit
+if their slots are consistent: equal benchmark values stand for equal values in the document and different ones for different
+ones, so a question asked again with other numbers or names is found, and a text of the same shape with unrelated fillings is
+not.  Every stretch is judged by itself, so what a copy holds further on does not acquit it.
 
-Beside the templates, RUN tokens in a row that are equal as written (lower-cased), or a whole shorter item of any length, are
+Beside the templates, RUN tokens in a row that are equal as written (lower-cased; capitals of all scripts up to three bytes), or a whole shorter item of any length, are
 a hit whatever they hold and whatever stands around them.  A capital that opens a sentence may be a name or not, so both
 readings are tried, in texts and items alike.
 """
@@ -26,6 +27,8 @@ RUN = 13  # tokens that must match in a row; a shorter item must match whole
 #: Up to so many benchmark windows (8 bytes each) their hashes are sent to all tasks as a filter before the join; beyond
 #: that all windows are joined by a shuffle.  Results are the same.
 FILTER_WINDOWS = 4_000_000
+#: Up to so many ids of contaminated rows are broadcast to drop the rows.
+BROADCAST_IDS = 2_000_000
 #: Units of measure and currency words (fixed list).
 UNITS = [
     "km", "m", "cm", "mm", "mi", "miles", "mile", "meters", "metres", "feet", "foot", "ft", "inches", "inch", "yards",
@@ -37,12 +40,43 @@ UNITS = [
 NUMBER_CODE, NAME_CODE, UNIT_CODE = mixed(np.array([11, 13, 17], np.uint64))
 
 
-def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    letters, digits, lower = np.zeros(256, bool), np.zeros(256, bool), np.arange(256)
+def _classes() -> tuple[np.ndarray, ...]:
+    """Letters, digits, codes of bytes; the lower case of every character of up to three bytes, and whether it is a capital.
+
+    A character whose lower case has another number of bytes, or of characters, is left as it is.
+    """
+    letters, digits = np.zeros(256, bool), np.zeros(256, bool)
     letters[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
     digits[48:58] = True
-    lower[65:91] += 32
-    return letters, digits, byte_codes()[lower]
+    lower = np.arange(1 << 16)
+    size = lambda c: 1 if c < 128 else 2 if c < 2048 else 3
+    for c in range(1 << 16):
+        small = chr(c).lower()
+        if len(small) == 1 and ord(small) < 1 << 16 and size(ord(small)) == size(c):
+            lower[c] = ord(small)
+    return letters, digits, byte_codes(), lower, lower != np.arange(1 << 16)
+
+
+def _lowered(data: np.ndarray, lower: np.ndarray, capital: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes in lower case, and which of them begin a capital."""
+    out, begins = data.copy(), np.zeros(len(data), bool)
+    big = np.flatnonzero(capital[:128][np.minimum(data, 127)] & (data < 128))
+    out[big] = lower[data[big]]
+    begins[big] = True
+    for first, past, length, mask in ((0xC2, 0xE0, 2, 0x1F), (0xE0, 0xF0, 3, 0x0F)):
+        at = np.flatnonzero((data >= first) & (data < past))
+        at = at[at + length <= len(data)]
+        code = data[at].astype(np.int64) & mask
+        for k in range(1, length):
+            code = code << 6 | (data[at + k] & 0x3F)
+        big = capital[code]
+        at, code = at[big], lower[code[big]]
+        begins[at] = True
+        for k in reversed(range(1, length)):
+            out[at + k] = 0x80 | code & 0x3F
+            code = code >> 6
+        out[at] = (0xC0 if length == 2 else 0xE0) | code
+    return out, begins
 
 
 def _hash(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -54,7 +88,7 @@ def _hash(words: list[str], table: np.ndarray) -> np.ndarray:
 def tokens(data: np.ndarray, offsets: np.ndarray, tables=None):
     """Of a block of documents: canonical codes, hashes of the tokens as written (lower case), is-placeholder, is a capital that
     opens a sentence, tokens per document."""
-    letters, digits, codes = tables or _classes()
+    letters, digits, codes, lower, capitals = tables or _classes()
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool), np.zeros(len(offsets) - 1, np.int64)
@@ -72,7 +106,8 @@ def tokens(data: np.ndarray, offsets: np.ndarray, tables=None):
     last[cut - 1] = kind[cut - 1] > 0
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     per_doc = np.diff(np.searchsorted(start, offsets))
-    raw = run_hashes(data, start, end, codes)
+    small, capital_at = _lowered(data, lower, capitals)
+    raw = run_hashes(small, start, end, codes)
     of = kind[start]
     # sentence starts: the first token of a document, and those with a sentence's end (or a line's) just before
     breaks = np.zeros(256, bool)
@@ -82,8 +117,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray, tables=None):
     opens[1:] = count[start[1:]] != count[end[:-1]]
     document_first = (np.cumsum(per_doc) - per_doc)[per_doc > 0]
     opens[document_first] = True
-    head = data[start]
-    capital = (of == 1) & (head >= 65) & (head <= 90)
+    capital = (of == 1) & capital_at[start]
     name = capital & ~opens
     number = of == 2
     after_number = np.zeros(len(start), bool)
@@ -226,8 +260,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = {min(r[0], RUN) for r in templates.filter(F.col("kind") == WRITTEN).select("n_tokens").distinct().collect()}
     wanted = None
     if templates.count() <= FILTER_WINDOWS:
-        found = [r[0] for r in templates.select("h").distinct().collect()]
-        wanted = spark.sparkContext.broadcast(np.sort(np.array(found, np.int64).view(np.uint64)))
+        found = templates.select("h").distinct().toArrow().column("h").to_numpy()  # 8 bytes each
+        wanted = spark.sparkContext.broadcast(np.sort(found.view(np.uint64)))
     theirs = templates.select("h", F.col("kind").alias("item_kind"), F.col("key").alias("item"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
                               F.least(F.col("n_tokens"), F.lit(RUN)).alias("need"))
     ours = rows.mapInArrow(_windows(wanted, lengths), SCHEMA).select(F.col("key").alias("rid"), "h", "kind", "pos", "slots")
@@ -239,18 +273,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # of one place's readings that match, the one with the fewest names
     aligned = Window.partitionBy("rid", "item", "reading", "shift").orderBy("pos", F.octet_length("slots"), "slots")
     hits = hits.withColumn("before", F.lag("pos").over(aligned)).filter("before IS NULL OR before <> pos")
-    runs = hits.withColumn("run", F.when(F.col("reading") == WRITTEN, 0).otherwise(F.col("pos") - F.row_number().over(aligned)))
     cut = lambda c: F.when(F.octet_length(c) > 0, F.transform(
         F.sequence(F.lit(0), (F.octet_length(c) / 8 - 1).cast("int")), lambda k: F.hex(F.col(c).substr(k * 8 + 1, F.lit(8)))))
     empty = F.array().cast("array<string>")
     pairs = F.arrays_zip(F.coalesce(cut("item_slots"), empty).alias("b"), F.coalesce(cut("slots"), empty).alias("d"))
-    by_run = runs.select("rid", "item", "reading", "shift", "run", "need", pairs.alias("pairs")).groupBy(
-        "rid", "item", "reading", "shift", "run", "need")
-    # a run is at most as long as its item, so these lists are short
-    whole = by_run.agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    # a stretch of ``need`` tokens is ``need - WINDOW + 1`` windows in a row, RUN - WINDOW + 1 at most
+    ahead = Window.partitionBy("rid", "item", "reading", "shift").orderBy("pos").rowsBetween(0, RUN - WINDOW)
+    length = F.col("need") - (WINDOW - 1)
+    windows = hits.select("rid", "item", "reading", "shift", "pos", "need", pairs.alias("pairs"))
+    stretch = windows.withColumn("ahead", F.collect_list(F.struct("pos", "pairs")).over(ahead))
+    stretch = stretch.withColumn("ahead", F.when(length > 0, F.slice("ahead", F.lit(1), F.greatest(length, F.lit(1)))))
+    slots = stretch.withColumn("pairs", F.array_distinct(F.flatten("ahead.pairs")))
     sides = [F.size(F.array_distinct(F.col(f"pairs.{side}"))) for side in ("b", "d")]
-    good = whole.filter((F.col("reading") == WRITTEN) | ((F.col("n") >= F.col("need") - (WINDOW - 1))
-                        & (sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs"))))
+    unbroken = (F.size("ahead") == length) & (F.element_at("ahead.pos", -1) == F.col("pos") + length - 1)
+    consistent = (sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs"))
+    good = slots.filter((F.col("reading") == WRITTEN) | (unbroken & consistent))
     return good.select("rid", "item").distinct().join(
         items.select(F.col("key").alias("item"), "item_id"), "item").select("rid", "item_id").distinct()
 
@@ -265,6 +302,13 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark passage."""
+    """The rows of ``docs`` that hold no benchmark passage.
+
+    NULL and empty texts hold none; repeated rows stay or go together; other columns may have any names.  Up to BROADCAST_IDS
+    row numbers (8 bytes each, counted first) are sent to the rows, so that texts are not moved; beyond that both are shuffled.
+    """
     whole = docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("rid"))
-    return whole.join(contamination(docs, benchmark).select("rid").distinct(), "rid", "left_anti").select("_row.*")
+    gone = save_table(contamination(docs, benchmark).select("rid").distinct(), "contaminated")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return whole.join(gone, "rid", "left_anti").select("_row.*")
