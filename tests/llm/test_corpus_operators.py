@@ -333,6 +333,56 @@ def test_skip_chain_carries_evidence():
     assert pii.edges("4015550100 and then 4015550100", [(0, 10), (20, 30)])[1] == [(0, 1)]
 
 
+def test_marginals_equal_enumeration_on_trees():
+    """Message passing is exact where edges form no cycle; every labelling of the nodes is summed here."""
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    model = {"weight": rng.normal(size=(6, pii.LABELS)), "chain": rng.normal(size=(pii.LABELS,) * 2), "skip": rng.normal(size=(pii.LABELS,) * 2)}
+    feats, chain, skip = [[0, 1], [2, 3], [1, 5], [4, 4]], [(0, 1)], [(1, 2), (1, 3)]
+    want = np.zeros((4, pii.LABELS))
+    for labels in product(range(pii.LABELS), repeat=4):
+        score = sum(model["weight"][f, y].sum() for f, y in zip(feats, labels, strict=True))
+        score += sum(model[kind][labels[a], labels[b]] for kind, es in (("chain", chain), ("skip", skip)) for a, b in es)
+        for i, y in enumerate(labels):
+            want[i, y] += np.exp(score)
+    got = pii.marginals(model, feats, chain, skip)
+    assert np.abs(got - want / want.sum(axis=1, keepdims=True)).max() < 1e-4
+
+
+def test_numbers_are_found_again_in_other_notations(spark):
+    import random
+
+    rng = random.Random(9)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = []
+    for i in range(300):
+        phone = rng.choice([f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", f"+49 {digits(3)} {digits(7)}", f"+1{digits(10)}"])
+        rows.append((i, f"In {rng.randrange(1900, 2030)} we sold {digits(rng.randrange(1, 11))} at {digits(2)}.{digits(2)}; write to a{i}@b.org or {phone} by {digits(4)}"))
+    model = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    cases = [("Call +18435557672. Later we called 8435557672 again.", ["8435557672"]),
+             ("Call +1 (843) 555-7672 now, or 843-555-7672 they say", ["843-555-7672"]),
+             ("ring +1 843 555 7672, at night (843) 555-7672", ["(843) 555-7672"]),
+             ("ring +49 170 1234567 please, or 0049 170 1234567 at night", ["0049 170 1234567"]),
+             ("Call +18435557672. Later 9435557111 again, 2024 of 100000000", []),
+             ("8435557672 and 8435557672 and 843-555-7672", []), ("", []), (None, [])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(docs, model).collect()}
+    for i, (text, wanted) in enumerate(cases):
+        base = {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.base_spans(text or "")}
+        added = [s.split(":") for s in got[i].spans.split(",") if s and s not in base]
+        assert [(kind, text[int(a) : int(b)]) for kind, a, b in added] == [("phone", w) for w in wanted]
+    masked = [r.text for r in pii.mask_personal_data(docs, model).orderBy("doc_id").collect()]
+    assert masked[0] == "Call <phone>. Later we called <phone> again."
+
+
+def test_hidden_cues_keep_their_places():
+    text = "Call +1 (843) 555-7672 or 4111 1111 1111 1111."
+    longer, spans = pii.hidden_cues(text, pii.base_spans(text))
+    assert longer.startswith(text) and len(spans) == 4
+    assert all(re.sub("[^0-9]", "", longer[a:b])[-8:] in ("35557672", "11111111") for _, a, b in spans)
+
+
 def test_suffix_array():
     rng = random.Random(5)
     for size, letters in [(1, 1), (2, 1), (7, 2), (60, 1), (80, 2), (200, 3), (300, 200)]:
