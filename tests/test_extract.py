@@ -6,10 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.binary import decode_all, encode_all, from_base58, hex_to_base58, read_value, to_base58
+from tidemark.functions.binary import decode_all, encode_all, from_base58, hex_to_base58, to_base58
 from tidemark.operators import extract as ex
 from tidemark.plans import dictionaries as fixed
 from tidemark.plans import ledger
+from plain_reader import read_value
 
 # Golden pairs: zero-stripped hex keys and their base58 texts.
 KEYS = {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query
 from tidemark.catalog.rows import cents
-from tidemark.functions.binary import base58_text, hex_to_base58
+from tidemark.functions.binary import base58_bytes, base58_text, hex_to_base58
 from tidemark.functions.json_text import json_fields
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators import extract as ex
@@ -116,15 +116,17 @@ def _(t):
 
 @query("ex_decode_args", """
     SELECT o_orderkey AS slot, 0 AS instruction, '' || CAST(round(o_totalprice * 100) AS BIGINT) AS lamports,
-           '' || o_orderkey AS space, CAST(44 AS INTEGER) AS size FROM orders""")
+           '' || o_orderkey AS space, CAST(44 AS INTEGER) AS size, '44' || lpad(format('{:x}', o_orderkey), 62, '0') AS hashed
+    FROM orders""")
 def _(t):
     rows = ex.decode_args(ex.explode_instructions(transactions(t), ["slot"]), fixed.opcode_commands())
     names = rows.where(F.col("type") == "CreateNameServiceName")
     fields = json_fields(names, "data", {"instruction": "instruction", "lamports": "lamports", "space": "space",
                                          "hashed": "hashedName"})
     size = F.when(F.length("hashed").between(43, 44), F.lit(44))
+    # The key is turned back into bytes, so every byte of it is compared.
     return fields.select("slot", F.col("instruction").cast("int").alias("instruction"), "lamports", "space",
-                         size.alias("size"))
+                         size.alias("size"), F.lower(F.hex(base58_bytes(F.col("hashed")))).alias("hashed"))
 
 
 @query("ex_instruction_events", """

@@ -1,7 +1,7 @@
 """From nested transactions to typed JSON events.
 
 Everything stays inside the row until the final explode, so a transaction never crosses a shuffle; the only
-Python is the binary decoder, and it sees only instructions of known programs.
+Python is the base58 codec, and it sees only instructions of known programs.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.binary import decode_instruction
+from tidemark.functions.binary import with_decoded
 from tidemark.functions.scalars import seconds_to_time
 from tidemark.operators.filters import has_body, relevant, succeeded
 from tidemark.plans.dictionaries import TOKEN_PROGRAM
@@ -101,8 +101,7 @@ def command_table(spark: SparkSession, commands: list[dict]) -> DataFrame:
 def decode_args(instructions: DataFrame, commands: list[dict]) -> DataFrame:
     """Add ``type`` and ``data`` (arguments as JSON text) for known commands; other rows are dropped."""
     known = sorted({c["programId"] for c in commands})
-    decoded = decode_instruction(F.col("programId"), F.col("item.data"), commands)
-    rows = instructions.where(F.col("programId").isin(known)).withColumn("__decoded", decoded)
+    rows = with_decoded(instructions.where(F.col("programId").isin(known)), "programId", "item.data", commands)
     named = rows.where(F.col("__decoded.type").isNotNull())
     return named.select(*instructions.columns, "__decoded.type", "__decoded.data")
 
@@ -254,7 +253,7 @@ def extract_once(txns: DataFrame, arrays: Iterable[Column], commands: list[dict]
     head = ["slot", "blockTime", F.col("transaction.message.recentBlockhash").alias("recentBlockhash"), F.col(KEYS).alias("keys")]
     shaped = good.select(*head, F.concat(nothing_found(), *arrays).alias("__found"))
     rows = shaped.select(*shaped.columns[:-1], F.inline_outer("__found")).where("type IS NOT NULL OR programId IS NOT NULL")
-    rows = rows.withColumn("__decoded", decode_instruction(F.col("programId"), F.col("item.data"), commands))
+    rows = with_decoded(rows, "programId", "item.data", commands)
     table = command_table(txns.sparkSession, commands).withColumnsRenamed({"programId": "__program", "type": "__command"})
     # The command table is built from literals, so its size does not depend on the data.
     known = rows.join(F.broadcast(table), (F.col("programId") == F.col("__program")) & (F.col("__decoded.type") == F.col("__command")), "left")
