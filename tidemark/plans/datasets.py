@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.json_text import json_field, json_fields
 from tidemark.functions.scalars import shift_decimal, tolerant
-from tidemark.operators.aggregates import changelog, count_by, latest_by, max_by_key, monotone
+from tidemark.operators.aggregates import changelog, count_by, first_per_key, latest_by, max_by_key, monotone, present
 from tidemark.operators.filters import like_any, of_type
 from tidemark.operators.joins import interval_join, lookup_join
 from tidemark.operators.ranking import apply_scores, leaderboard
@@ -115,15 +115,17 @@ def _flatten(rows: DataFrame, paths: list[str]) -> DataFrame:
 def collective_create_unclaimed_tokens(events: DataFrame, within: int = JOIN_WITHIN_SECONDS) -> DataFrame:
     """New unclaimed tokens with the metadata created for them within two hours before or after."""
     tokens = of_type(routed(events, "spl_token_collective_events"), "initializeUnclaimedSocialTokenV0")
-    wanted = json_field("payload", "accounts.initializeArgs.tokenMetadata")
-    left = tokens.select(F.col("offset").alias("seq"), *EVENT, "payload", wanted.alias("__wanted"), _rowtime("__at"))
+    # Fields and join key come from one parse, and the payload stays out of the join's shuffle.
+    fields = {**{_leaf(p): p for p in UNCLAIMED}, "__wanted": "accounts.initializeArgs.tokenMetadata"}
+    rows = tokens.select(F.col("offset").alias("seq"), *EVENT, "payload", _rowtime("__at"))
+    left = json_fields(rows, "payload", fields).drop("payload")
     right = typed(events, "create_metadata_events").select(
         F.col("name").alias("tokenMetadataName"), F.col("symbol").alias("tokenMetadataSymbol"),
         F.col("uri").alias("tokenMetadataUri"), "tokenMetadata", _rowtime("__made"),
     )
     pairs = interval_join(left, right, ("__wanted", "tokenMetadata"), ("__at", "__made"), within)
     found = ["tokenMetadataName", "tokenMetadataSymbol", "tokenMetadataUri", "tokenMetadata"]
-    return _flatten(pairs.select("seq", *EVENT, *found, "payload"), UNCLAIMED)
+    return pairs.select("seq", *EVENT, *found, *[_leaf(p) for p in UNCLAIMED])
 
 
 def _rowtime(out: str):
@@ -245,9 +247,9 @@ def raw_retriable_blocks(blocks: DataFrame, **split) -> DataFrame:
         "offset", "key", "slot", "count")
 
 
-def missed_slots(blocks: DataFrame, **split) -> DataFrame:
-    """A slot once, when its count becomes 1."""
-    return raw_retriable_blocks(blocks, **split).where(F.col("count") == 1).select("key", "slot")
+def missed_slots(blocks: DataFrame) -> DataFrame:
+    """A slot once, when its count becomes 1: at its first row (map tasks keep one row per slot)."""
+    return first_per_key(_skipped(blocks).where(present(["key"])), ["key"], "offset").select("key", "slot")
 
 
 def trophies(events: DataFrame, **split) -> DataFrame:
