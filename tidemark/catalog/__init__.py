@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.catalog import datasets, events, joins, requests, rows, streams, tables  # noqa: F401
+from tidemark.catalog import datasets, declared, events, joins, requests, rows, streams, tables  # noqa: F401
 from tidemark.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
