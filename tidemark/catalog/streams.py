@@ -47,6 +47,42 @@ def in_order(t, df: DataFrame, order: str) -> DataFrame:
     return arriving(t, df, F.floor((F.col(order) - F.lit(low or 0)) / step))
 
 
+def resumed(t, df: DataFrame, part: Column, start) -> int:
+    """Run ``start(stream)`` to its end over the first half of PARTS files, and again, with the same progress folder, once the
+    others have arrived; returns the number of micro-batches that had rows.  A micro-batch takes one file."""
+    folder, batches_run = f"{shared_folder(t.spark)}/arriving-{uuid.uuid4().hex}", 0
+    for half in (range(PARTS // 2), range(PARTS // 2, PARTS)):
+        for i in half:
+            df.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+        running = start(t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+        sinks.drain(running)
+        batches_run += sum(progress.numInputRows > 0 for progress in running.recentProgress)
+    return batches_run
+
+
+@query("st_resumed_log", f"SELECT o_orderkey, o_custkey, {PARTS} AS batches FROM orders")
+def _(t):
+    folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = t.orders.select("o_orderkey", "o_custkey")
+    n = resumed(t, rows, F.pmod("o_orderkey", F.lit(PARTS)), lambda stream: sinks.write_stream(
+        stream, f"{folder}/rows", f"{folder}/progress"))
+    return sinks.read_log(t.spark, f"{folder}/rows").withColumn("batches", F.lit(n))
+
+
+# A keyed table keeps what arrived last, and inside a micro-batch what is last in order; the files follow that order.
+@query("st_resumed_table", f"""
+    SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, {PARTS} AS batches
+    FROM events WHERE user_id IS NOT NULL GROUP BY user_id""")
+def _(t):
+    folder = f"{shared_folder(t.spark)}/table-{uuid.uuid4().hex}"
+    rows = t.events.select("user_id", "event_id", "event_type").where("user_id IS NOT NULL")
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    width = (high - low) // PARTS + 1 if high is not None else 1
+    n = resumed(t, rows, F.floor((F.col("event_id") - F.lit(low or 0)) / width), lambda stream: sinks.upsert(
+        stream, f"{folder}/rows", ["user_id"], f"{folder}/progress", order="event_id", mode="append"))
+    return sinks.current(t.spark, f"{folder}/rows", ["user_id"]).withColumn("batches", F.lit(n))
+
+
 # Every seventh row has no time; what has none is stamped with the epoch.
 UNTIMED_SQL = """
     WITH e AS (SELECT event_id, user_id, event_type, CASE WHEN event_id % 7 = 0 THEN TIMESTAMP '1970-01-01' ELSE ts END AS ts FROM events)
