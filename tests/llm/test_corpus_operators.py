@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,25 @@ def test_token_files(docs, rows, nothing):
     assert tokens.token_files(nothing).count() == 0
 
 
+def test_words_are_cut_and_asked_for_once(monkeypatch):
+    """Ids equal the library's on odd texts, forms of one word are one question, and what a worker keeps is bounded."""
+    rng = random.Random(3)
+    parts = ["a", "Bc", "1", "22", " ", "\n", "'", "|", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'T", ".", ",-", "é", "É", "e\u0301", "À", "ß", "Þ", "×",
+             "÷", "漢", "\t", "\r", "\x01", "\x00", "\u00a0", "\u3000", "😀", "İ", "ſ", "½", "_", "\x7f", "\x85", "\u200d", "ﬁ"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(3000)] + ["", " ", "", "x"]
+    encoder = tokens.WordEncoder(tokens.tokenizer_path())
+    asked, learned = [], encoder._learned
+    monkeypatch.setattr(encoder, "_learned", lambda words: asked.extend(words) or learned(words))
+    encoder.column(pa.array(["The end. The cat, THE cat! the end?", "(the) Été été."]))
+    assert sorted(asked) == sorted("the end cat . , ! ? ( ) été".encode().split())
+    for most in (50, tokens.KNOWN_WORDS):
+        monkeypatch.setattr(tokens, "KNOWN_WORDS", most)
+        for at in range(0, len(texts), 601):
+            got = encoder.column(pa.array(texts[at : at + 601], pa.string())).to_pylist()
+            assert [np.frombuffer(ids, encoder.kind).tolist() for ids in got] == plain_ids(texts[at : at + 601])
+            assert len(encoder.known) <= most and len(encoder.older) <= most
+
+
 def test_memory_map(spark, docs, tmp_path):
     tokens.write_token_files(docs, str(tmp_path / "files"))
     shards = [tokens.map_shard(str(f)) for f in sorted((tmp_path / "files").glob("part-*")) if f.stat().st_size]

@@ -1,12 +1,15 @@
 """Token ids by a public tokenizer's file, flat token files, and packing into fixed windows.
 
-The tokenizers here drop white space and never join letters across it, so a text is encoded word by word: each worker
-keeps the ids of words it has met (bounded, see ``KNOWN_WORDS``) and asks the library only for new ones.  A text's ids are
-the same as the library gives for the whole text (tested).
+The tokenizers here drop white space and never join letters across it, so a text is encoded word by word; the default one also
+never joins letters, digits and signs, so its words of ASCII and Latin-1 letters are cut into runs of these.  A block of texts is coded against its
+distinct words, each worker keeps the ids of words it has met (bounded, see ``KNOWN_WORDS``) and asks the library only for new
+ones.  A text's ids are the same as the library gives for the whole text (tested).
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 
@@ -15,14 +18,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import rows_of, save_table, worker_state
+from tidemark.llm.blocks import document_runs
+from tidemark.llm.common import rows_of, save_table, text_buffers, worker_state
 from tidemark.session import shared_folder
 
 END = 1
 WINDOW = 2048
-#: Words whose ids a worker process keeps (about 200 bytes each); at this many it starts anew.
-KNOWN_WORDS = 1_000_000
+#: Words whose ids a worker process keeps (about 200 bytes each): the latest ones, and as many that were met before them.
+KNOWN_WORDS = 200_000
+#: Bytes of text that are coded together; a longer document is a block of its own.
+CODED_BYTES = 4 << 20
 SHARD_BYTES = 32 << 20
+#: Documents whose places make one record of a shard's index.
+INDEXED = 1 << 16
+
+#: What a byte of a text is: white space between words, (part of) a letter, a digit, a sign, or one that leaves its word uncut (the
+#: first byte of any letter outside ASCII and U+00C0 to U+00FF, a control character, the apostrophe of 's and 't, the bar of special tokens).
+SPACE, LETTER, DIGIT, SIGN, UNCUT = range(5)
+#: The pre-tokenizer and normalizer whose words can be cut so.
+CUTTABLE = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", ["NFC", "Replace", "Lowercase"])
+
+#: A word that was cut, in small letters.
+CUT = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[!-&(-/:-@[-`{}~]+|[0-9]")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,10 +48,42 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_kinds(cuttable: bool) -> np.ndarray:
+    kinds = np.full(256, UNCUT, np.uint8)
+    kinds[[10, 32]] = SPACE
+    if cuttable:
+        kinds[33:127] = SIGN
+        kinds[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = LETTER
+        kinds[48:58] = DIGIT
+        kinds[[39, 124]] = UNCUT
+    return kinds
+
+
+def byte_spelling() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 as it is, others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def cuts_words(tokenizer) -> bool:
+    """Whether this tokenizer works on runs of letters, single digits and runs of signs, whatever their case."""
+    spec = json.loads(tokenizer.to_str())
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    special = all("|" in t["content"] for t in spec["added_tokens"])
+    first = steps[0]
+    return (special and (first.get("pattern", {}).get("Regex"), normal) == CUTTABLE and first["behavior"] == "Removed" and first["invert"]
+            and [s["type"] for s in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"])
+
+
 class WordEncoder:
-    """``ids(text)``: the ids as little-endian unsigned 16-bit bytes (32-bit for vocabularies over 65,536 ids)."""
+    """``column(texts)``: the ids of each text and the end id, as little-endian unsigned 16-bit bytes (32-bit for vocabularies
+    over 65,536 ids)."""
 
     SEPARATOR = "\x01"
+    #: Stands for the end id; no word holds it.
+    CLOSE = b"\n"
 
     def __init__(self, path: str):
         import os
@@ -44,55 +93,130 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {"": b""}
+        self.end = np.array([END], self.kind).tobytes()
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.mark = self._encode(self.SEPARATOR)
+        self.cuttable = cuts_words(self.tokenizer)
+        self.kinds = byte_kinds(self.cuttable)
+        if self.cuttable:
+            self.lower = np.arange(256, dtype=np.uint8)
+            self.lower[65:91] += 32
+            self.spelling = byte_spelling()
+            self.raw = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {"": b""}
-        plain = [w for w in words if self.SEPARATOR not in w] if len(self.mark) == 1 else []
+    def _learned(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The library's ids of some words; a cut one is a single piece, so it goes to the library's merges as it is."""
+        if not self.cuttable:
+            return self._together(words)
+        found, rest, merge, raw = {}, [], self.tokenizer.model.tokenize, self.raw
+        for w in words:
+            if CUT.fullmatch(w):
+                found[w] = b"".join([raw[token.id] for token in merge(w.decode("latin-1").translate(self.spelling))])
+            else:
+                rest.append(w)
+        return found | self._together(rest)
+
+    def _together(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found = {}
+        plain = [w for w in words if b"\x01" not in w] if len(self.mark) == 1 else []
+        separator = f" {self.SEPARATOR} ".encode()
         for i in range(0, len(plain), 20_000):
             some = plain[i : i + 20_000]
-            ids = np.array(self.tokenizer.encode_batch_fast(
-                [f" {self.SEPARATOR} ".join(some)], add_special_tokens=False)[0].ids, dtype=self.kind)
+            text = separator.join(some).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(cuts) != len(some) - 1:  # a word made the mark itself
                 continue
             raw, size = ids.tobytes(), self.kind.itemsize
             starts = [0, *((cuts + 1) * size).tolist()]
             ends = [*(cuts * size).tolist(), len(raw)]
-            self.known.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
+            found.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
         for w in words:
-            if w not in self.known:
-                self.known[w] = np.array(self._encode(w), dtype=self.kind).tobytes()
-
-    def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-            known = self.known
-            return b"".join(known[w] for w in words)
-
-    def many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; new words of all texts are asked for together."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
-        if len(new) * 2 > KNOWN_WORDS:
-            return [self.ids(t) for t in texts]
-        if new:
-            self._learn(sorted(new))
-            if len(self.known) < len(new):  # started anew: words met before are gone
-                return [self.ids(t) for t in texts]
-        known = self.known
-        try:
-            return [b"".join([known[w] for w in words]) for words in split]
-        except KeyError:
-            return [self.ids(t) for t in texts]
+            if w not in found:
+                found[w] = np.array(self._encode(w.decode()), dtype=self.kind).tobytes()
+        return found
+
+    def answers(self, words: list[bytes]) -> list[bytes]:
+        """The ids of some distinct words; those asked for last stay known."""
+        out = list(map(self.known.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if missing:
+            for i in missing:
+                out[i] = self.older.get(words[i])
+            found = self._learned([words[i] for i in missing if out[i] is None])
+            for at in range(0, len(missing), KNOWN_WORDS):
+                some = missing[at : at + KNOWN_WORDS]
+                if len(self.known) + len(some) > KNOWN_WORDS:
+                    self.older, self.known = self.known, {}
+                for i in some:
+                    if out[i] is None:
+                        out[i] = found[words[i]]
+                    self.known[words[i]] = out[i]
+        return out
+
+    def words(self, data: np.ndarray, offsets: np.ndarray):
+        """All words of some texts in a row, ``CLOSE`` after each text's: their bytes and where each begins."""
+        n = len(data)
+        kind = self.kinds[data]
+        inside = kind != SPACE
+        edge = np.zeros(n + 1, bool)
+        edge[offsets] = True
+        begins = inside & edge[:n]
+        begins[1:] |= inside[1:] & ~inside[:-1]
+        text = data
+        if self.cuttable:
+            text = self.lower[data]
+            accents = np.flatnonzero(data == 0xC3) + 1
+            second = data[accents]
+            kind[accents[(second == 0x97) | (second == 0xB7)]] = UNCUT  # the signs of multiplication and division
+            text[accents[second < 0x9F]] += 32
+            self._keep_uncut(data, text, kind, begins, inside & (edge[1:] | ~np.append(inside[1:], False)))
+            begins[1:] |= (kind[1:] != kind[:-1]) & inside[1:]
+            begins |= kind == DIGIT
+        before = np.zeros(n + 1, np.int32 if n < 1 << 31 else np.int64)
+        np.cumsum(inside, out=before[1:])
+        ends = before[offsets[1:]]
+        return np.insert(text[inside], ends, self.CLOSE[0]), np.flatnonzero(np.insert(begins[inside], ends, True))
+
+    @staticmethod
+    def _keep_uncut(data: np.ndarray, text: np.ndarray, kind: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+        """Words with an ``UNCUT`` byte are of this kind throughout and as they were written."""
+        uncut = np.flatnonzero(kind == UNCUT)
+        if not len(uncut):
+            return
+        touched = np.searchsorted(np.flatnonzero(begins), uncut, side="right") - 1
+        touched = touched[np.append(True, touched[1:] != touched[:-1])]
+        step = np.zeros(len(data) + 1, np.int8)
+        step[np.flatnonzero(begins)[touched]] = 1
+        step[np.flatnonzero(ends)[touched] + 1] -= 1
+        whole = np.flatnonzero(np.cumsum(step[:-1], dtype=np.int8))
+        kind[whole] = UNCUT
+        text[whole] = data[whole]
+
+    def column(self, texts):
+        """An Arrow column of texts (no NULLs) as one of ids, a text's ended by the end id."""
+        import pyarrow as pa
+
+        data, offsets = text_buffers(texts)
+        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+        text, starts = self.words(data, offsets)
+        places = pa.array(np.append(starts, len(text)), pa.int64())
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, places.buffers()[1], pa.py_buffer(text)])
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        close = distinct.index(self.CLOSE)
+        distinct[close] = b""  # (the empty word has no ids in any vocabulary: it is not asked for)
+        ids = self.answers([w for w in distinct if w])
+        ids.insert(close, self.end)
+        taken = pa.array(ids, pa.large_binary()).take(coded.indices)
+        bounds = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1]
+        last = np.flatnonzero(coded.indices.to_numpy() == close) + 1
+        ends = pa.array(np.append(0, bounds[last]), pa.int64())
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, ends.buffers()[1], taken.buffers()[2]])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -103,20 +227,23 @@ def encoder(path: str) -> WordEncoder:
 
 
 def _encoded(path: str):
-    """Arrow batches (doc_id, text) to (doc_id, ids with the end id), a few hundred documents at a time."""
+    """Arrow batches (doc_id, text) to (doc_id column, column of ids with the end id), some MB of text at a time."""
 
     def pieces(batches):
         enc = encoder(path)
-        end = np.array([END], enc.kind).tobytes()
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for i in range(0, len(ids), 256):
-                texts = batch.column("text").slice(i, 256).to_pylist()
-                yield enc, ids[i : i + 256], [b + end for b in enc.many(texts)]
+            sizes = np.diff(text_buffers(batch.column("text"))[1])
+            for i, j in document_runs(sizes, CODED_BYTES):
+                yield enc, batch.column("doc_id").slice(i, j - i), enc.column(batch.column("text").slice(i, j - i))
 
     return pieces
 
 
+def _bounds(ids) -> np.ndarray:
+    """Where each value of a column of ids begins and ends in its bytes."""
+    return text_buffers(ids)[1]
+
+
 # --- flat files -------------------------------------------------------------------------------------------------------
 #
 # A shard holds, one after another: the ids of its documents (unsigned, little-endian, each document ended by the end id),
@@ -142,28 +269,25 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     def records(batches):
         import pyarrow as pa
 
-        out = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("record", pa.binary())])
-        at, tokens, index, width = 0, 0, [], 2
-        for enc, doc_ids, encoded in pieces(batches):
+        out = pa.schema([("record", pa.binary())])
+        tokens, index, width = 0, [], 2
+        for enc, doc_ids, ids in pieces(batches):
             width = enc.kind.itemsize
-            places = range(at, at + len(encoded))
-            yield pa.record_batch([pa.array([0] * len(encoded), pa.int32()), pa.array(places, pa.int64()),
-                                   pa.array([e[:-1] for e in encoded], pa.binary())], schema=out)
-            for doc_id, ids in zip(doc_ids, encoded, strict=True):
-                index.append((doc_id if doc_id is not None else -(1 << 63), tokens))
-                tokens += len(ids) // width
-            at += len(encoded)
+            bounds = _bounds(ids)
+            yield pa.record_batch([pa.array([ids.buffers()[2][int(bounds[0]) : int(bounds[-1]) - 1].to_pybytes()], pa.binary())], schema=out)
+            keys = doc_ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+            index.append(np.stack([keys, tokens + (bounds[:-1] - bounds[0]) // width], axis=1).astype("<i8"))
+            tokens += int(bounds[-1] - bounds[0]) // width
         if index:
-            table = np.array(index, dtype="<i8").reshape(-1, 2)
-            raw = table.tobytes()
-            lines = [raw[i : i + 15] for i in range(0, len(raw), 16)]
-            tail = np.array([tokens, len(index), width], dtype="<i8").tobytes()[:-1]
-            yield pa.record_batch([pa.array([1] * len(lines) + [2], pa.int32()),
-                                   pa.array(range(len(lines) + 1), pa.int64()), pa.array([*lines, tail], pa.binary())], schema=out)
-
-    # (nothing below shuffles again: the sort is within the range partitions)
+            table = np.concatenate(index)
+            for i in range(0, len(table), INDEXED):
+                yield pa.record_batch([pa.array([table[i : i + INDEXED].tobytes()[:-1]], pa.binary())], schema=out)
+            tail = np.array([tokens, len(table), width], dtype="<i8").tobytes()[:-1]
+            yield pa.record_batch([pa.array([tail], pa.binary())], schema=out)
+
+    # (nothing below shuffles or sorts again: a task's records are written in the order it gives them)
     ordered = rows.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id", "text")
-    written = ordered.mapInArrow(records, "part int, at long, record binary").sortWithinPartitions("part", "at")
+    written = ordered.mapInArrow(records, "record binary")
     written.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\0").text(folder)
 
 
@@ -242,13 +366,14 @@ def _with_totals(path: str):
         from pyspark import TaskContext
 
         part, at = TaskContext.get().partitionId(), 0
-        for enc, doc_ids, encoded in pieces(batches):
-            counts = np.array([len(e) // enc.kind.itemsize for e in encoded], np.int64)
+        for enc, doc_ids, ids in pieces(batches):
+            width, n = enc.kind.itemsize, len(ids)
+            counts = np.diff(_bounds(ids)) // width
             before = at + np.cumsum(counts) - counts
             at += int(counts.sum())
             yield pa.record_batch([
-                pa.array(doc_ids, pa.int64()), pa.array([part] * len(encoded), pa.int64()), pa.array(before), pa.array(counts),
-                pa.array([enc.kind.itemsize] * len(encoded), pa.int32()), pa.array(encoded, pa.binary())],
+                doc_ids, pa.array(np.full(n, part, np.int64)), pa.array(before), pa.array(counts),
+                pa.array(np.full(n, width, np.int32)), ids.cast(pa.binary())],
                 names=["doc_id", "part", "before", "n", "width", "ids"])
 
     return run
