@@ -475,6 +475,52 @@ def test_exchange_finds_languages():
     assert len(set(of[1:7])) == 1 and len(set(of[7:])) == 1 and of[1] != of[7]
 
 
+def test_every_word_is_classed_by_its_neighbours(spark, monkeypatch):
+    """Words too rare to be frequent, all of one ending: each moves to the class its own neighbours make likeliest."""
+    monkeypatch.setattr(brown, "FREQUENT", 80)
+    monkeypatch.setattr(brown, "CLASSES", 8)  # seven frequent words and the ending
+    rng = random.Random(5)
+    sides = [("le", "livre", "chat"), ("der", "grand", "hund")]
+    data = []
+    for i in range(400):
+        text = []
+        for _ in range(8):
+            a, usual, b = sides[i % 2]
+            text += [a, usual if rng.random() < 0.5 else f"{'xy'[i % 2]}{rng.randrange(40)}ing", b]
+            text += ["echo", "echo"] if rng.random() < 0.2 else []
+        data.append((i, " ".join(text)))
+    rows = spark.createDataFrame(data, "doc_id long, text string").repartition(3).selectExpr(
+        "doc_id", "text", "spark_partition_id() AS chunk", "CAST(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 1 AS INT) AS train").localCheckpoint()
+    documents = rows.filter("train = 1").count()
+    model = brown.start(rows, documents)
+    found = {r.h: r for r in brown.clustered(rows, model).filter("first").collect()}
+    codes = brown.lower_codes()
+
+    def hashed(word):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        return int(brown.words(raw, np.array([0, len(raw)]), codes)[0].view(np.int64)[0])
+
+    training = [t.split() for d, t in data if zlib.crc32(str(d).encode()) % 5 != 1]
+    counts = Counter(w for t in training for w in t)
+    old = {w: found[hashed(w)].old for w in counts}
+    assert {w: found[hashed(w)].total for w in counts} == dict(counts)
+    rare = [w for w in counts if w.endswith("ing")]
+    assert len({old[w] for w in rare}) == 1
+    assert all(found[hashed(w)]["class"] == old["livre" if w[0] == "x" else "grand"] for w in rare)
+
+    def table(of):
+        out = np.zeros((brown.CLASSES + 1,) * 2)
+        for t in training:
+            around = [0, *(of[w] for w in t), 0]
+            np.add.at(out, (around[:-1], around[1:]), 1)
+        return out
+
+    assert np.allclose(table(old), model["table"])
+    for w in ["echo", *rare[:3]]:
+        best = max(brown.likelihood(table(old | {w: c})) for c in range(1, brown.CLASSES + 1))
+        assert brown.likelihood(table(old | {w: found[hashed(w)]["class"]})) == pytest.approx(best, abs=1e-6)
+
+
 def test_main_text(spark):
     page = ("<html><head><title>t</title><style>p{}</style></head><body class='home'><nav><a>Menu</a></nav><div class='cookie-notice'>Yes</div>"
             "<article><h1>Head %d</h1><p>One &amp; %d two<br>three <b>bold %d</p><p>Next\n %d</article><aside>Side</aside><div id=comments>Nice!</div>"
