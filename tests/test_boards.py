@@ -76,3 +76,15 @@ def test_replay_and_emptied_board(spark, tmp_path):
     assert kept(board, spark) == []
     board.apply(spark.createDataFrame([(100, "x", 1, 7)], SCHEMA), "o", 4)
     assert kept(board, spark) == [("x", 1, 7, 1)]
+
+
+def test_small_ranges_share_files(spark, tmp_path):
+    """Hundreds of ranges are a few files, and a batch that touches some of them leaves the others where they are."""
+    board = Board(str(tmp_path), "g", "m", "s", 20, buckets=2)
+    rows = spark.range(4000).select(F.col("id").alias("o"), F.lit("hot").alias("g"), F.col("id").alias("m"), (F.col("id") + 1).alias("s"))
+    board.apply(rows, "o", 0)
+    assert len(board.ranges(spark)) >= 200 and len(list((tmp_path / "ranges").rglob("*.parquet"))) <= 4
+    board.apply(spark.createDataFrame([(9000 + i, "hot", 100 * i, 0) for i in range(5)], SCHEMA), "o", 1)
+    assert sum(r["version"] == 0 for r in board.ranges(spark)) >= 190
+    want = expected([(i, "hot", i, i + 1) for i in range(4000)] + [(9000 + i, "hot", 100 * i, 0) for i in range(5)])
+    assert kept(board, spark) == want

@@ -6,7 +6,8 @@ shrank are put together.  The manifest has one row per range with its least plac
 group, so a rank is the rows of the group in the ranges above plus the place inside one range, and a group of any size is
 ranked range by range.
 
-Version ``n`` of a range lies in ``<path>/ranges/version=n``, the manifests in ``<path>/manifest-0`` and ``-1`` in turns, and
+The ranges of version ``n`` lie in ``<path>/ranges/version=n``, in order and many to a file (a shelf), so that a board of small
+ranges is not as many files, tasks and folders; the manifests in ``<path>/manifest-0`` and ``-1`` in turns, and
 ``<path>/members`` is a keyed table of every member's score.  A replayed batch starts from the manifest of the batch before it
 and overwrites its own version.
 """
@@ -27,6 +28,10 @@ from tidemark.streaming.sinks import triggered
 
 #: Rows of one range: they are sorted in one task.
 CAPACITY = 1_000_000
+#: Rows of one file of ranges, where ranges are smaller.
+SHELF = 500_000
+#: What tells the ranges of all versions apart, and the order of one version's.
+SPOT = ["version", "shelf", "place", "piece"]
 
 
 @dataclass(frozen=True)
@@ -76,9 +81,14 @@ class Board:
         return keyed.withColumn("__at", F.aggregate(F.lit(steps), F.lit(0), further)).drop("__lows", "__key")
 
     def _rows(self, spark: SparkSession, ranges: Sequence[Row]) -> DataFrame | None:
-        """The rows of some ranges with ``version``, ``place`` and ``piece`` (the folder they lie in)."""
-        paths = [f"{self.path}/ranges/version={r['version']}/place={r['place']}/piece={r['piece']}" for r in ranges]
-        return spark.read.option("basePath", f"{self.path}/ranges").parquet(*paths) if paths else None
+        """The rows of some ranges with ``version``, ``shelf`` (the folder they lie in), ``place`` and ``piece``."""
+        paths = sorted({f"{self.path}/ranges/version={r['version']}/shelf={r['shelf']}" for r in ranges})
+        if not paths:
+            return None
+        rows = spark.read.option("basePath", f"{self.path}/ranges").parquet(*paths)
+        # A shelf also holds ranges that were not asked for or were rewritten since.
+        asked = spark.createDataFrame([tuple(r[c] for c in SPOT) for r in ranges], "version long, shelf int, place int, piece int")
+        return rows.withColumn("version", F.col("version").cast("long")).join(asked, SPOT, "left_semi")
 
     def apply(self, changes: DataFrame, order: str | Sequence[str], batch: int) -> None:
         """Take in a batch of changes: the latest per member wins; a zero or NULL score removes the member."""
@@ -121,19 +131,23 @@ class Board:
                 leader[at] = before
                 together[before] = together.get(before, 0) + together.pop(at, 0)
         large = [together.get(at, 0) > self.capacity for at in range(n_ranges)]
-        parts = -(-sum(sizes.values()) // max(1, self.capacity // 2))
-        dealt = located.withColumn("place", F.get(F.lit(leader), F.col("__at"))).drop("__at")
-        # Bounds come from a sample: pieces are near half the capacity, and what they are is read back from the files.
-        dealt = dealt.repartitionByRange(parts, "place", self._key())
-        dealt = dealt.withColumn("piece", F.when(F.get(F.lit(large), F.col("place")), F.spark_partition_id()).otherwise(0))
+        half, key = max(1, self.capacity // 2), self._key()
+        shelves = -(-sum(sizes.values()) // max(SHELF, half))
+        spark = located.sparkSession
+        plan = spark.createDataFrame([(leader, large)], "leader array<int>, large array<boolean>")
+        dealt = located.withColumn("place", F.get(plan.select("leader").scalar(), F.col("__at"))).drop("__at")
+        # Bounds come from a sample: shelves are near their size, and what they hold is read back from the files.
+        dealt = dealt.repartitionByRange(shelves, "place", key).withColumn("shelf", F.spark_partition_id())
+        piece = F.floor((F.row_number().over(Window.partitionBy("shelf").orderBy("place", key)) - 1) / half).cast("int")
+        dealt = dealt.withColumn("piece", F.when(F.get(plan.select("large").scalar(), F.col("place")), piece).otherwise(0))
         folder = f"{self.path}/ranges/version={batch}"
-        dealt.write.mode("overwrite").partitionBy("place", "piece").parquet(folder)
-        written = located.sparkSession.read.parquet(folder)
-        by_group = written.groupBy("place", "piece", self.group).agg(
-            F.count("*").alias("n"), F.min(F.struct(self.score, self.member)).alias("least"))
+        dealt.write.mode("overwrite").partitionBy("shelf").parquet(folder)
+        written = spark.read.parquet(folder)
+        spot = ["place", "shelf", "piece"]
+        by_group = written.groupBy(*spot, self.group).agg(F.count("*").alias("n"), F.min(F.struct(self.score, self.member)).alias("least"))
         first = F.min(F.struct(self.group, "n", "least")).alias("first")
         last = F.max(F.struct(self.group, "n")).alias("last")
-        return by_group.groupBy("place", "piece").agg(F.sum("n").alias("n"), first, last).orderBy("place", "piece").collect()
+        return by_group.groupBy(*spot).agg(F.sum("n").alias("n"), first, last).orderBy(*spot).collect()
 
     def _publish(
         self, spark: SparkSession, ranges: list[Row], touched: set[int], pieces: list[Row], manifest: StructType, batch: int
@@ -143,7 +157,7 @@ class Board:
         for r in pieces:
             first, least, last = r["first"], r["first"]["least"], r["last"]
             low = Row(first[self.group], least[self.score], least[self.member])
-            rows.append((r["place"], (batch, r["place"], r["piece"], low, r["n"], first[self.group], first["n"],
+            rows.append((r["place"], (batch, r["shelf"], r["place"], r["piece"], low, r["n"], first[self.group], first["n"],
                                       last[self.group], last["n"])))
         rows.sort(key=lambda r: r[0])  # stable: pieces of a range stay in their order
         table = [(batch, at, *row) for at, (_, row) in enumerate(rows)]
@@ -165,7 +179,7 @@ class Board:
                 carry = 0
             else:
                 carry = higher["n_first"] + (carry if higher["first_group"] == higher["last_group"] else 0)
-            above.append((r["version"], r["place"], r["piece"], carry, r["n"] == r["n_last"]))
+            above.append((*(r[c] for c in SPOT), carry))
         read = ranges
         if only is not None:
             buckets = self.members.touched(only)
@@ -177,9 +191,8 @@ class Board:
             wanted = {r[0] for r in self._located(asked, ranges, manifest).select("__at").distinct().collect()}
             read = [r for at, r in enumerate(ranges) if at in wanted] or ranges[:1]
         # One row per range; the carried count belongs to the highest group of a range alone.
-        carried = spark.createDataFrame([a[:4] for a in above], "version long, place int, piece int, above long")
-        rows = self._rows(spark, read).withColumn("version", F.col("version").cast("long"))
-        spot = ["version", "place", "piece"]
+        carried = spark.createDataFrame(above, "version long, shelf int, place int, piece int, above long")
+        rows, spot = self._rows(spark, read), SPOT
         best = Window.partitionBy(*spot, self.group).orderBy(F.col(self.score).desc(), F.col(self.member).desc())
         highest = F.struct(self.group).eqNullSafe(F.max(F.struct(self.group)).over(Window.partitionBy(*spot)))
         counted = rows.withColumns({"rank": F.row_number().over(best), "__highest": highest}).join(carried, spot)
@@ -191,8 +204,8 @@ class Board:
 def _manifest_schema(low: StructField, group: StructField) -> StructType:
     long = LongType()
     return StructType([
-        StructField("batch", long), StructField("at", IntegerType()), StructField("version", long), StructField("place", IntegerType()),
-        StructField("piece", IntegerType()), StructField("low", low.dataType), StructField("n", long),
+        StructField("batch", long), StructField("at", IntegerType()), StructField("version", long),
+        StructField("shelf", IntegerType()), StructField("place", IntegerType()), StructField("piece", IntegerType()), StructField("low", low.dataType), StructField("n", long),
         StructField("first_group", group.dataType), StructField("n_first", long),
         StructField("last_group", group.dataType), StructField("n_last", long)])
 
